@@ -153,3 +153,39 @@ def load(spark: SparkSession, sf_dir: str) -> QATables:
                     votes=frames["se_votes"], badges=frames["se_badges"],
                     comments=frames["se_comments"], tags=frames["se_tags"],
                     answers=frames["se_answers"])
+
+
+TABLE_NAMES = ("users", "posts", "votes", "badges", "comments", "tags")
+
+
+def stage(qa: QATables, out_dir: str, *, buckets: int | None = None,
+          db: str | None = None) -> dict[str, str]:
+    """Write the six tables once (load once, query many).
+
+    With ``buckets``, posts are bucketed and sorted by ``id`` and votes by
+    ``post_id`` (catalog tables in ``db``), so the per-post vote aggregate and
+    the posts/votes join read co-located buckets without a shuffle.
+    Returns table -> path (or qualified table name when bucketed).
+    """
+    out: dict[str, str] = {}
+    bucket_keys = {"posts": "id", "votes": "post_id"}
+    for name in TABLE_NAMES:
+        df = getattr(qa, name)
+        path = f"{out_dir.rstrip('/')}/{name}"
+        if buckets and name in bucket_keys and db:
+            key = bucket_keys[name]
+            (df.write.mode("overwrite").format("parquet").option("path", path)
+             .bucketBy(buckets, key).sortBy(key).saveAsTable(f"{db}.{name}"))
+            out[name] = f"{db}.{name}"
+        else:
+            df.write.mode("overwrite").parquet(path)
+            out[name] = path
+    return out
+
+
+def load_stored(spark: SparkSession, locations: dict[str, str]) -> QATables:
+    """QATables over staged tables (paths or catalog names)."""
+    def read(loc: str) -> DataFrame:
+        return spark.table(loc) if "/" not in loc else spark.read.parquet(loc)
+    frames = {n: read(loc) for n, loc in locations.items()}
+    return QATables(answers=frames["posts"].where("parent_id IS NOT NULL"), **frames)
