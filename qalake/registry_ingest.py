@@ -17,8 +17,9 @@ from . import adapter
 from .adapter import oracle
 from .operators import derive, staging, tables
 from .pipeline import PipelineArgs, run_pipeline
+from .functions.pg import idiv
 from .session import scratch_path
-from .sources import dump, files
+from .sources import dump, files, pieces
 from .specs import spec
 
 POST_ATTRS = {
@@ -160,6 +161,68 @@ def _list_files(spark: SparkSession, sf: str) -> DataFrame:
     return files.list_files(spark, out, r"re:shard=3/")
 
 
+PIECE = 1024
+
+
+def _piece_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as files (ASCII, one line each) in a torrent-like stream of
+    1 KiB pieces; every 10th file has one byte changed in its first full
+    piece, every 50th (doc_id % 50 = 7) is not written at all."""
+    docs = _documents(spark, sf).select(
+        "doc_id", F.regexp_replace("text", r"[^\x20-\x7e]", "?").alias("orig"))
+    entries = (pieces.running_offsets(docs.withColumn("length", F.length("orig") + 1),
+                                      "doc_id", "length", bucket=128)
+               .withColumn("name", F.concat(F.lit("doc_id="), F.col("doc_id").cast("string"))))
+    first = idiv(F.col("offset") + PIECE - 1, F.lit(PIECE))
+    has_full = idiv(F.col("offset") + F.col("length"), F.lit(PIECE)) > first
+    at = (first * PIECE - F.col("offset") + 1).cast("int")   # first byte of the first full piece
+    ch = F.col("orig").substr(at, F.lit(1))
+    corrupt = F.when((F.col("doc_id") % 10 == 0) & has_full,
+                     F.overlay("orig", F.when(ch == "x", "y").otherwise("x"), at, F.lit(1)))
+    root = scratch_path(spark, "pieces")
+    (entries.where(F.col("doc_id") % 50 != 7)
+     .select("doc_id", F.coalesce(corrupt, F.col("orig")).alias("body"))
+     .write.partitionBy("doc_id").text(root))
+    present = (files.list_files(spark, root)
+               .select(F.regexp_extract("rel_path", r"^(doc_id=\d+)/", 1).alias("name"), "path"))
+    listed = entries.select("name", "offset", "length")
+    # the file bytes are the line plus the newline the text writer adds
+    content = F.concat(F.col("orig"), F.lit("\n"))
+    digests = (pieces.file_pieces(listed, PIECE).join(entries.select("name", "orig"), "name")
+               .select("piece_idx",
+                       F.sha1(content.substr((F.col("pos") + 1).cast("int"), F.lit(PIECE)))
+                       .alias("digest")))
+    summary, _ = pieces.verify_pieces(listed, present, digests, PIECE)
+    return summary
+
+
+DUCK_PIECES = f"""d AS (
+SELECT doc_id, regexp_replace(text, '[^\x20-\x7e]', '?', 'g') AS orig FROM documents),
+e AS (
+SELECT doc_id, orig, length(orig) + 1 AS len,
+       CAST(coalesce(sum(length(orig) + 1) OVER (ORDER BY doc_id
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS BIGINT) AS off
+FROM d),
+f AS (
+SELECT doc_id, orig, len, off, (off + {PIECE} - 1) // {PIECE} AS first_p, (off + len) // {PIECE} AS end_p,
+       CAST((off + {PIECE} - 1) // {PIECE} * {PIECE} - off + 1 AS INTEGER) AS c
+FROM e),
+g AS (
+SELECT doc_id, orig, first_p, end_p,
+       CASE WHEN doc_id % 10 = 0 AND end_p > first_p
+            THEN substr(orig, 1, c - 1) || CASE WHEN substr(orig, c, 1) = 'x' THEN 'y' ELSE 'x' END
+                 || substr(orig, c + 1)
+            ELSE orig END AS body
+FROM f),
+p AS (
+SELECT g.doc_id, k AS piece_idx,
+       sha1(substr(g.orig || chr(10), CAST(k * {PIECE} - e.off + 1 AS INTEGER), {PIECE})) AS want,
+       sha1(substr(g.body || chr(10), CAST(k * {PIECE} - e.off + 1 AS INTEGER), {PIECE})) AS got
+FROM g JOIN e USING (doc_id), range(g.first_p, g.end_p) t(k)
+WHERE g.end_p > g.first_p)"""
+
+
 def ingestion() -> dict[str, tuple]:
     reg: dict[str, tuple] = {}
 
@@ -270,4 +333,17 @@ SELECT post_id, tag_id, count(*) AS n FROM pt GROUP BY post_id, tag_id HAVING co
 
     reg["list_files_filtered"] = (_list_files, None)
 
+    reg["piece_hash_audit"] = (
+        _piece_audit,
+        "WITH " + DUCK_PIECES + """
+SELECT 'doc_id=' || CAST(e.doc_id AS VARCHAR) AS name,
+       CASE WHEN e.doc_id % 50 = 7 THEN 'missing'
+            WHEN count(p.piece_idx) FILTER (WHERE p.want <> p.got) > 0 THEN 'mismatch' ELSE 'ok' END AS status,
+       CASE WHEN e.doc_id % 50 = 7 THEN 0
+            ELSE count(p.piece_idx) FILTER (WHERE p.want <> p.got) END AS n_bad,
+       CASE WHEN e.doc_id % 50 = 7 THEN NULL
+            ELSE min(p.piece_idx) FILTER (WHERE p.want <> p.got) END AS first_bad
+FROM e LEFT JOIN p ON p.doc_id = e.doc_id
+GROUP BY e.doc_id""")
+
     return reg
