@@ -21,6 +21,7 @@ from .functions.pg import idiv
 from .session import scratch_path
 from .sources import dump, files, pieces
 from .specs import spec
+from .streaming.ingest import ingest_stream
 
 POST_ATTRS = {
     "id": "Id", "post_type_id": "PostTypeId", "accepted_answer_id": "AcceptedAnswerId",
@@ -161,6 +162,19 @@ def _list_files(spark: SparkSession, sf: str) -> DataFrame:
     return files.list_files(spark, out, r"re:shard=3/")
 
 
+def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts land as two dump drops (questions, then answers); one
+    availableNow stream picks up both, a second run finds nothing new."""
+    posts = adapter.load(spark, sf).posts
+    src = scratch_path(spark, "drop")
+    dump.write_dump(posts.where(F.col("parent_id").isNull()), f"{src}/q", POST_ATTRS)
+    dump.write_dump(posts.where(F.col("parent_id").isNotNull()), f"{src}/a", POST_ATTRS)
+    out, ckpt = scratch_path(spark, "posts-stream"), scratch_path(spark, "posts-stream-ckpt")
+    for _ in range(2):
+        ingest_stream(spark, f"{src}/*", spec("posts"), out, ckpt).awaitTermination()
+    return spark.read.parquet(out).select(*POST_COLS)
+
+
 PIECE = 1024
 
 
@@ -331,6 +345,8 @@ FROM (SELECT id AS post_id,
 JOIN se_tags t ON t.tag_name = x.tag_name)""", body="""
 SELECT post_id, tag_id, count(*) AS n FROM pt GROUP BY post_id, tag_id HAVING count(*) > 1"""))
 
+    reg["stream_ingest_rows"] = (_stream_ingest, oracle(body=DUCK_POSTS_TYPED))
+
     reg["list_files_filtered"] = (_list_files, None)
 
     reg["piece_hash_audit"] = (
