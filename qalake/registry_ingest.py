@@ -87,15 +87,15 @@ def _doc_types(df: DataFrame) -> DataFrame:
 
 def _parts_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "documents-parts")
-    staging.write_parts(_documents(spark, sf), out, "doc_id", shards=8, max_rows_per_part=200)
-    return _doc_types(staging.read_parts(spark, out)).select(*DOC_COLS)
+    staging.write_parts(_documents(spark, sf), out, "doc_id", shards=8, max_rows_per_part=200, fmt="csv")
+    return _doc_types(staging.read_parts(spark, out, "csv")).select(*DOC_COLS)
 
 
 def _manifest_load(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "documents-staged")
-    staging.write_parts(_documents(spark, sf), out, "doc_id", shards=8, max_rows_per_part=200)
+    staging.write_parts(_documents(spark, sf), out, "doc_id", shards=8, max_rows_per_part=200, fmt="csv")
     staging.build_manifest(spark, out, table="documents", key="doc_id", columns=DOC_COLS,
-                           source="documents.parquet", shards=8)
+                           source="documents.parquet", shards=8, fmt="csv")
     return _doc_types(staging.load_manifest(spark, f"{out}/{staging.MANIFEST}", verify_rows=True))
 
 
@@ -144,7 +144,7 @@ def _ingest_all(spark: SparkSession, sf: str) -> DataFrame:
     chosen = ("posts", "users", "votes", "badges", "comments", "tags")
     args = PipelineArgs(site=site, source_dir=src, staging_dir=scratch_path(spark, "staging"),
                         tables=chosen, shards=8, max_rows_per_part=5000,
-                        warehouse_dir=scratch_path(spark, "warehouse"))
+                        warehouse_dir=scratch_path(spark, "warehouse"), parallel_tables=3)
     run_pipeline(spark, args)
     return tables.table_counts(spark, {t: f"{site}.{t}" for t in chosen})
 
