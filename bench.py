@@ -1,7 +1,8 @@
 """Benchmark: the registered analytics over staged tables.
 
 Stages the six dump-shaped tables from the parquet inputs at $BENCH_SF_DIR
-once (timed as ``stage_sec``), then runs every analytic over them: one warm-up
+once, plus the materialised post_tags relation (timed together as
+``stage_sec``), then runs every analytic over them: one warm-up
 run, then the median of three timed runs each (a ``noop`` write forces the
 whole plan without collecting rows). Prints one JSON line.
 """
@@ -42,9 +43,13 @@ def main() -> None:
     t0 = time.perf_counter()
     locs = adapter.stage(adapter.load(spark, sf_dir), scratch_path(spark, "bench-tables"),
                          buckets=buckets, db=db)
-    stage_sec = time.perf_counter() - t0
     qa = adapter.load_stored(spark, locs)
-    pt = post_tags(qa.posts, qa.tags)
+    # the derived relation is materialised once, like the reference's view
+    pt_path = scratch_path(spark, "bench-post-tags")
+    (post_tags(qa.posts, qa.tags).repartition("post_id").sortWithinPartitions("post_id")
+     .write.mode("overwrite").parquet(pt_path))
+    stage_sec = time.perf_counter() - t0
+    pt = spark.read.parquet(pt_path)
     per_query: dict[str, float] = {}
     for key, (body, _) in bodies().items():
         df = body(qa, pt)

@@ -63,13 +63,3 @@ def weekday_name(ts: Column) -> Column:
 def fail_if(cond: Column, value: Column, message: str) -> Column:
     """``value``, but raise ``message`` on rows where ``cond`` holds."""
     return F.when(cond, F.raise_error(F.lit(message))).otherwise(value)
-
-
-def like_escape_pattern(site: Column) -> Column:
-    """Make a Postgres LIKE pattern with escape ``!`` acceptable to Spark.
-
-    Postgres takes ``!x`` as a literal ``x`` for any x; Spark only accepts the
-    escape before ``%``, ``_`` or ``!``. ``!x`` for other x becomes ``x``.
-    """
-    # pairs are read left to right: "!!a" is an escaped "!" and then "a"
-    return F.regexp_replace(site, r"(?s)(!)([%_!])|!(.)", "$1$2$3")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pg import days_between, like_escape_pattern
+from ..functions.pg import days_between
 
 
 def q03_comment_scores(comments: DataFrame, me: int = 15811) -> DataFrame:
@@ -52,44 +52,94 @@ def q24_quickest_badge(badges: DataFrame, users: DataFrame, badge: str = "Guru")
             .orderBy(F.asc_nulls_last("days_membership"), F.asc("user_id"), F.asc("date_won")))
 
 
+def _like_literal_is_plain(site: str) -> str | None:
+    """The literal text a LIKE pattern ``site`` (escape ``!``) stands for,
+    or None if it holds a wildcard."""
+    out, i = [], 0
+    while i < len(site):
+        ch = site[i]
+        if ch == "!" and i + 1 < len(site):
+            out.append(site[i + 1])
+            i += 2
+            continue
+        if ch in "%_":
+            return None
+        out.append(ch)
+        i += 1
+    return "".join(out)
+
+
 def q30_vanity_search(users: DataFrame, posts: DataFrame, comments: DataFrame,
                       me: int = 30633, months: int = 2) -> DataFrame:
     """Posts and comments by others naming my website in the last months.
 
     "Now" is the dump's end: the later of the last post activity and the last
-    comment. The site is used as a LIKE pattern with escape ``!``. The site
-    and the end are one broadcast row; each big text column is scanned once.
+    comment. The site is used as a LIKE pattern with escape ``!``.
+
+    The site and the window start are one row (bounded by the users key),
+    fetched first like a psql ``\\gset``: as literals, the date bound is
+    pushed into the parquet scans (row groups outside the window are skipped)
+    and a site without wildcards is a plain substring test. Each big text
+    column is then scanned once.
     """
+    spark = posts.sparkSession
     site = F.rtrim(F.regexp_replace(F.col("website_url"), r"^https?://", ""), F.lit("/"))
-    mine = (users.where(F.col("id") == F.lit(me))
-            .select(F.col("id").alias("me_id"), site.alias("site"))
-            .where(F.col("site") != ""))
+    mine = users.where(F.col("id") == F.lit(me)).select(site.alias("site"))
     end = (posts.agg(F.max("last_activity_date").alias("a"))
            .crossJoin(comments.agg(F.max("creation_date").alias("c")))
-           .select((F.greatest("a", "c") - F.make_ym_interval(F.lit(0), F.lit(months)))
-                   .alias("since")))
-    params = F.broadcast(mine.crossJoin(end).select(
-        "me_id", "since",
-        F.concat(F.lit("%"), like_escape_pattern(F.col("site")), F.lit("%")).alias("pat")))
-    in_posts = (posts.select("id", "body", "owner_user_id", "last_activity_date")
-                .crossJoin(params)
-                .where(F.expr("body LIKE pat ESCAPE '!'")
-                       & (F.col("owner_user_id") != F.col("me_id"))
-                       & (F.col("last_activity_date") >= F.col("since")))
-                .select(F.col("id").alias("pid")))
-    in_comments = (comments.select("post_id", "text", "user_id", "creation_date")
-                   .crossJoin(params)
-                   .where(F.expr("text LIKE pat ESCAPE '!'")
-                          & (F.col("user_id") != F.col("me_id"))
-                          & (F.col("creation_date") >= F.col("since")))
-                   .select(F.col("post_id").alias("pid")))
-    hits = in_posts.union(in_comments).distinct()
+           .select((F.greatest("a", "c") - F.make_ym_interval(F.lit(0), F.lit(months))).alias("since")))
+    rows = mine.where(F.col("site") != "").crossJoin(end).where(F.col("since").isNotNull()).collect()
+    out_schema = "post_id int, last_activity timestamp_ntz"
+    if not rows:
+        return spark.createDataFrame([], out_schema)
+    hits = None
+    for r in rows:  # one row per user with this id (the key): normally exactly one
+        plain = _like_literal_is_plain(r["site"])
+        pattern = "%" + _pg_like_to_spark(r["site"]) + "%"
+        # a zone-free literal: the text of the NTZ value
+        since = F.lit(r["since"].isoformat(sep=" ")).cast("timestamp_ntz")
+
+        def names(c: str) -> Column:
+            if plain is not None:
+                return F.instr(F.col(c), plain) > 0
+            return F.col(c).like(pattern)
+
+        in_posts = (posts.where((F.col("last_activity_date") >= since)
+                                & (F.col("owner_user_id") != F.lit(me)) & names("body"))
+                    .select(F.col("id").alias("pid")))
+        in_comments = (comments.where((F.col("creation_date") >= since)
+                                      & (F.col("user_id") != F.lit(me)) & names("text"))
+                       .select(F.col("post_id").alias("pid")))
+        part = in_posts.union(in_comments)
+        hits = part if hits is None else hits.union(part)
+    hits = hits.distinct()
     p = posts.select(F.col("id").alias("post_id"), F.col("last_activity_date").alias("last_activity"))
     return (hits.join(p, hits["pid"] == p["post_id"])
             .select("post_id", "last_activity")
             .orderBy(F.desc_nulls_first("last_activity"), F.asc("post_id")))
 
 
+def _pg_like_to_spark(site: str) -> str:
+    """Postgres LIKE pattern with escape '!' -> Spark pattern with escape '\\'.
+
+    '!%' and '!_' are literal wildcards, '!x' is a literal x for any other x;
+    a pattern ending in a lone '!' is an error, as in Postgres.
+    """
+    out, i = [], 0
+    while i < len(site):
+        ch = site[i]
+        if ch == "!":
+            if i + 1 >= len(site):
+                raise ValueError("LIKE pattern must not end with escape character")
+            nxt = site[i + 1]
+            out.append("\\" + nxt if nxt in "%_\\" else nxt)
+            i += 2
+            continue
+        out.append("\\\\" if ch == "\\" else ch)
+        i += 1
+    return "".join(out)
+
+
 def q33_short_titles(posts: DataFrame, max_len: int = 16) -> DataFrame:
     """Questions whose title is shorter than ``max_len`` characters."""
     return (posts.where((F.length("title") < max_len) & F.col("parent_id").isNull())

@@ -156,6 +156,14 @@ def _post_tags_dups(spark: SparkSession, sf: str) -> DataFrame:
     return derive.post_tags_duplicates(derive.post_tags(doubled, qa.tags))
 
 
+def _refresh_post_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """D3: compute, check and store the relation; read back what was stored."""
+    qa = adapter.load(spark, sf)
+    name = "post_tags_" + uuid.uuid4().hex[:10]
+    return derive.refresh_post_tags(spark, qa.posts, qa.tags, name,
+                                    path=scratch_path(spark, name))
+
+
 def _list_files(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "posts-parts")
     staging.write_parts(adapter.load(spark, sf).posts, out, "id", shards=8, max_rows_per_part=1000)
@@ -347,6 +355,10 @@ SELECT post_id, tag_id, count(*) AS n FROM pt GROUP BY post_id, tag_id HAVING co
 
     reg["stream_ingest_rows"] = (_stream_ingest, oracle(body=DUCK_POSTS_TYPED))
 
+    reg["post_tags_refresh"] = (
+        _refresh_post_tags,
+        oracle(adapter.DUCK_POST_TAGS, body="SELECT post_id, tag_id, tag_name FROM se_post_tags"))
+
     reg["list_files_filtered"] = (_list_files, None)
 
     reg["piece_hash_audit"] = (

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from qalake.functions.pg import like_escape_pattern, rounded_ratio
+from qalake.functions.pg import rounded_ratio
 from qalake.plans import answers, content, timeline, users, votes
 
 POSTS = ("id int, post_type_id int, accepted_answer_id int, parent_id int, creation_date timestamp_ntz, "
@@ -24,11 +24,6 @@ def test_rounded_ratio_half_away_from_zero(spark):
     assert got == [0.13, -0.13, 0.67, 0.01, None, None]
 
 
-def test_like_escape_normalisation(spark):
-    df = spark.createDataFrame([("a!.b",), ("a!%b",), ("!!a",), ("x_y",)], "s string")
-    assert [r[0] for r in df.select(like_escape_pattern(F.col("s"))).collect()] == ["a.b", "a!%b", "!!a", "x_y"]
-
-
 def test_q02_no_answers_gives_one_row_with_nulls(spark):
     p = spark.createDataFrame([post(1, owner=3)], POSTS)
     r = answers.q02_unsung(p, me=7).collect()
@@ -143,3 +138,18 @@ def test_q08_null_scores_tie(spark):
                                post(3, 2, parent=1, owner=9, score=4)], POSTS)
     r = answers.q08_rival_comparison(p, me=7, rival=9).collect()
     assert [(x["winner"], x["question"]) for x in r] == [("Tie", 1)]
+
+
+def test_q30_wildcards_and_escapes(spark):
+    from qalake.plans.content import _pg_like_to_spark
+    assert _pg_like_to_spark("a!%b_c!!d!x\\") == "a\\%b_c!dx\\\\"
+    with pytest.raises(ValueError):
+        _pg_like_to_spark("abc!")
+    u = spark.createDataFrame([(1, "http://a_c/")], "id int, website_url string")
+    end = dt.datetime(2020, 5, 31)
+    p = spark.createDataFrame([post(10, body="see abc", owner=3, last=end),
+                               post(11, body="see a_c", owner=3, last=end),
+                               post(12, body="see ac", owner=3, last=end)], POSTS)
+    c = spark.createDataFrame([], "id int, post_id int, text string, creation_date timestamp_ntz, user_id int")
+    got = sorted(r["post_id"] for r in content.q30_vanity_search(u, p, c, me=1).collect())
+    assert got == [10, 11]
