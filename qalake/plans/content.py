@@ -42,10 +42,9 @@ def q12_low_view_unanswered(posts: DataFrame, min_score: int = 2, min_views: int
 def q24_quickest_badge(badges: DataFrame, users: DataFrame, badge: str = "Guru") -> DataFrame:
     """Days from joining to winning ``badge``, and since its first award."""
     b = badges.where(F.col("name") == F.lit(badge)).select("user_id", "date")
-    first = b.agg(F.min(F.to_date("date")).alias("first_time"))  # one row, over all holders
+    first = b.agg(F.min(F.to_date("date"))).scalar()  # over all holders, known users or not
     members = users.select(F.col("id").alias("uid"), F.col("creation_date").alias("member_since"))
-    e = (b.join(members, b["user_id"] == members["uid"])
-         .crossJoin(F.broadcast(first)))
+    e = b.join(members, b["user_id"] == members["uid"]).withColumn("first_time", first)
     return (e.select("user_id", "member_since", F.col("date").alias("date_won"),
                      (days_between(F.col("date"), F.col("member_since")) + 1).alias("days_membership"),
                      F.datediff(F.to_date("date"), F.col("first_time")).alias("days_since_first"))
@@ -85,10 +84,11 @@ def q30_vanity_search(users: DataFrame, posts: DataFrame, comments: DataFrame,
     spark = posts.sparkSession
     site = F.rtrim(F.regexp_replace(F.col("website_url"), r"^https?://", ""), F.lit("/"))
     mine = users.where(F.col("id") == F.lit(me)).select(site.alias("site"))
-    end = (posts.agg(F.max("last_activity_date").alias("a"))
-           .crossJoin(comments.agg(F.max("creation_date").alias("c")))
-           .select((F.greatest("a", "c") - F.make_ym_interval(F.lit(0), F.lit(months))).alias("since")))
-    rows = mine.where(F.col("site") != "").crossJoin(end).where(F.col("since").isNotNull()).collect()
+    end = F.greatest(posts.agg(F.max("last_activity_date")).scalar(),
+                     comments.agg(F.max("creation_date")).scalar())
+    since = (end - F.make_ym_interval(F.lit(0), F.lit(months))).alias("since")
+    rows = (mine.where(F.col("site") != "").select("site", since)
+            .where(F.col("since").isNotNull()).collect())
     out_schema = "post_id int, last_activity timestamp_ntz"
     if not rows:
         return spark.createDataFrame([], out_schema)

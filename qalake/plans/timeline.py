@@ -21,11 +21,10 @@ def q16_monthly_totals(posts: DataFrame, buckets: int = 12, days: int = 30) -> D
     aggregate, joined to the fixed list of windows.
     """
     spark = posts.sparkSession
-    newest = posts.agg(F.max_by("creation_date", "id").alias("newest"))  # one row
+    newest = posts.agg(F.max_by("creation_date", "id")).scalar()
     width = days * _MICROS_PER_DAY
-    d = F.expr("timestampdiff(MICROSECOND, creation_date, newest)")
+    d = F.timestamp_diff("MICROSECOND", F.col("creation_date"), newest)
     p = (posts.select("creation_date", F.col("parent_id").isNull().alias("is_q"))
-         .crossJoin(F.broadcast(newest))
          .select("is_q", d.alias("d"))
          .where((F.col("d") >= 0) & (F.col("d") <= F.lit(buckets * width))))
     first = idiv(F.col("d"), F.lit(width)) + 1
@@ -35,9 +34,7 @@ def q16_monthly_totals(posts: DataFrame, buckets: int = 12, days: int = 30) -> D
             .groupBy("bucket")
             .agg(F.count_if(F.col("is_q")).alias("q"), F.count_if(~F.col("is_q")).alias("a")))
     frame = (spark.range(1, buckets + 1).select(F.col("id").alias("bucket"))
-             .crossJoin(newest)
-             .select("bucket", (F.col("newest") - F.make_dt_interval(F.col("bucket") * days))
-                     .alias("start")))
+             .select("bucket", (newest - F.make_dt_interval(F.col("bucket") * days)).alias("start")))
     return (frame.join(hits, "bucket", "left")
             .select("start", F.coalesce("q", F.lit(0)).cast("long").alias("total_questions"),
                     F.coalesce("a", F.lit(0)).cast("long").alias("total_answers"))

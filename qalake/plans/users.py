@@ -13,18 +13,17 @@ from ..functions.pg import days_between, fail_if, idiv, ratio, rounded_ratio
 def q06_rank_percentile(users: DataFrame, me: int = 15811, floor: int = 100) -> DataFrame:
     """My rank by reputation and that rank over the users above ``floor``.
 
-    The two correlated counts become conditional counts in ONE pass over the
-    users, against a broadcast one-row frame (bounded by the key).
+    My reputation is a scalar subquery (one row by the key); the two counts
+    are conditional counts of ONE pass over the users, another scalar.
     """
-    me_row = users.where(F.col("id") == F.lit(me)).select(
-        F.col("id").alias("me_id"), F.col("reputation").alias("me_rep"))
-    g = (users.select("reputation").crossJoin(F.broadcast(me_row))
-         .groupBy("me_id", "me_rep")
-         .agg(F.count_if(F.col("reputation") > F.col("me_rep")).alias("above"),
-              F.count_if(F.col("reputation") > F.lit(floor)).alias("base")))
-    ranking = F.col("above") + F.lit(1)
-    pct = fail_if(F.col("base") == 0, ratio(ranking, F.col("base")), "division by zero")
-    return g.select(F.col("me_id").alias("id"), ranking.alias("ranking"), pct.alias("percentile"))
+    mine = users.where(F.col("id") == F.lit(me))
+    my_rep = mine.select("reputation").scalar()
+    counts = users.agg(F.struct(
+        F.count_if(F.col("reputation") > my_rep).alias("above"),
+        F.count_if(F.col("reputation") > F.lit(floor)).alias("base"))).scalar()
+    ranking = counts["above"] + F.lit(1)
+    pct = fail_if(counts["base"] == 0, ratio(ranking, counts["base"]), "division by zero")
+    return mine.select("id", ranking.alias("ranking"), pct.alias("percentile"))
 
 
 def q13_high_standards(users: DataFrame, min_rep: int = 1000, min_upvotes: int = 10,
@@ -62,8 +61,8 @@ def q22_elite_users(users: DataFrame, percent=10, id_bucket: int = 1 << 16) -> D
     pct_n, s = _percent_as_fraction(percent)
     scale = 100 * 10 ** s  # running * scale >= total * pct_n  <=>  running >= total * p / 100
     base = users.select("id", "display_name", "reputation")
-    totals = base.agg(F.sum("reputation").cast("long").alias("total"),
-                      F.count_if(F.col("reputation").isNull()).alias("n_null"))
+    totals = base.agg(F.struct(F.sum("reputation").cast("long").alias("total"),
+                               F.count_if(F.col("reputation").isNull()).alias("n_null"))).scalar()
     per_value = (base.where(F.col("reputation").isNotNull())
                  .groupBy("reputation")
                  .agg(F.count(F.lit(1)).alias("n"),
@@ -72,7 +71,7 @@ def q22_elite_users(users: DataFrame, percent=10, id_bucket: int = 1 << 16) -> D
     cum = (per_value
            .withColumn("cum_end", F.sum("s").over(w))
            .withColumn("users_before", F.sum("n").over(w) - F.col("n"))
-           .crossJoin(F.broadcast(totals))
+           .withColumn("total", totals["total"]).withColumn("n_null", totals["n_null"])
            .where(F.col("cum_end") * F.lit(scale) >= F.col("total") * F.lit(pct_n))
            .orderBy(F.desc("reputation")).limit(1))
     need = F.col("total") * F.lit(pct_n) - (F.col("cum_end") - F.col("s")) * F.lit(scale)
@@ -86,8 +85,9 @@ def q22_elite_users(users: DataFrame, percent=10, id_bucket: int = 1 << 16) -> D
             .withColumn("bucket", idiv(F.col("id"), F.lit(id_bucket))))
     per_bucket = tied.groupBy("bucket").agg(F.count(F.lit(1)).alias("bn"))
     wb = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    k_value = cut.select("k").scalar()
     spans = (per_bucket.withColumn("before", F.sum("bn").over(wb) - F.col("bn"))
-             .crossJoin(F.broadcast(cut.select("k")))
+             .withColumn("k", k_value)
              .where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("before") + F.col("bn")))
              .select("bucket", "before"))
     wi = Window.partitionBy("bucket").orderBy("id")
@@ -105,8 +105,8 @@ def q22_elite_users(users: DataFrame, percent=10, id_bucket: int = 1 << 16) -> D
 def q25_rising_stars(users: DataFrame, posts: DataFrame, min_rep: int = 5000,
                      limit: int = 50, safe: bool = False) -> DataFrame:
     """Reputation per day since joining, up to the dump's last post."""
-    end = posts.agg(F.max("creation_date").alias("end_date"))  # one row
-    u = users.where(F.col("reputation") > min_rep).crossJoin(F.broadcast(end))
+    end = posts.agg(F.max("creation_date")).scalar()
+    u = users.where(F.col("reputation") > min_rep).withColumn("end_date", end)
     days = days_between(F.col("end_date"), F.col("creation_date"))
     per_day = idiv(F.col("reputation"), F.nullif(days, F.lit(0)) if safe else days)
     if not safe:

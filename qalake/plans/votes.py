@@ -101,11 +101,10 @@ def q07_passive_reputation(posts: DataFrame, votes: DataFrame, me: int = 15811,
                            ignore_days: int = 15, min_age_days: int = 60,
                            limit: int = 100) -> DataFrame:
     """My posts' reputation from votes cast after the first ``ignore_days``."""
-    latest = posts.agg(F.max("creation_date").alias("latest"))  # one row
+    latest = posts.agg(F.max("creation_date")).scalar()  # the dump's end
     mine = (posts.where((F.col("owner_user_id") == F.lit(me))
                         & F.col("community_owned_date").isNull())
-            .select("id", "parent_id", "creation_date")
-            .crossJoin(F.broadcast(latest))
+            .select("id", "parent_id", "creation_date", latest.alias("latest"))
             .where(days_between(F.col("latest"), F.col("creation_date")) > min_age_days))
     v = (votes.where(F.col("vote_type_id").isin(UP, DOWN))
          .select("post_id", "vote_type_id", F.col("creation_date").alias("voted")))
