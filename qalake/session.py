@@ -47,16 +47,24 @@ def build_session(master: str = "local[*]", app: str = "qalake",
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir, setting a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="qalake-ckpt-")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context handle
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:  # unset: a local folder, as in tests
+        configured = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="qalake-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
