@@ -62,7 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:  # unset: a local folder, as in tests
-        configured = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="qalake-ckpt-"))
+        if "dir" not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK["dir"] = tempfile.mkdtemp(prefix="qalake-ckpt-")
+        configured = _LOCAL_FALLBACK["dir"]
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
