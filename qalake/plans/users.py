@@ -61,37 +61,36 @@ def q22_elite_users(users: DataFrame, percent=10, id_bucket: int = 1 << 16) -> D
     pct_n, s = _percent_as_fraction(percent)
     scale = 100 * 10 ** s  # running * scale >= total * pct_n  <=>  running >= total * p / 100
     base = users.select("id", "display_name", "reputation")
-    totals = base.agg(F.struct(F.sum("reputation").cast("long").alias("total"),
-                               F.count_if(F.col("reputation").isNull()).alias("n_null"))).scalar()
-    per_value = (base.where(F.col("reputation").isNotNull())
-                 .groupBy("reputation")
-                 .agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.col("reputation").cast("long")).alias("s")))
-    w = Window.orderBy(F.desc("reputation")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rep = F.col("reputation")
+    # one row per distinct reputation (the NULL group included): the only
+    # input of the un-partitioned windows below
+    per_value = base.groupBy("reputation").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.sum(rep.cast("long")).alias("s"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = (Window.orderBy(F.desc_nulls_last("reputation"))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = (per_value
-           .withColumn("cum_end", F.sum("s").over(w))
-           .withColumn("users_before", F.sum("n").over(w) - F.col("n"))
-           .withColumn("total", totals["total"]).withColumn("n_null", totals["n_null"])
-           .where(F.col("cum_end") * F.lit(scale) >= F.col("total") * F.lit(pct_n))
+           .withColumn("total", F.sum("s").over(everything))
+           .withColumn("n_null", F.sum(F.when(rep.isNull(), F.col("n")).otherwise(0)).over(everything))
+           .withColumn("cum_end", F.sum("s").over(running))
+           .withColumn("users_before", F.sum("n").over(running) - F.col("n"))
+           .where(rep.isNotNull() & (F.col("cum_end") * F.lit(scale) >= F.col("total") * F.lit(pct_n)))
            .orderBy(F.desc("reputation")).limit(1))
     need = F.col("total") * F.lit(pct_n) - (F.col("cum_end") - F.col("s")) * F.lit(scale)
-    step = F.col("reputation").cast("long") * F.lit(scale)
-    k = F.when((need <= 0) | (step <= 0), F.lit(1)).otherwise(
-        idiv(need + step - F.lit(1), step))
-    cut = cum.select(F.col("reputation").alias("cut_rep"), k.alias("k"),
-                     "users_before", "n_null", "total")
-    # users with the cut-off reputation, positioned by id through buckets
-    tied = (base.join(F.broadcast(cut), base["reputation"] == cut["cut_rep"])
+    step = rep.cast("long") * F.lit(scale)
+    k = F.when((need <= 0) | (step <= 0), F.lit(1)).otherwise(idiv(need + step - F.lit(1), step))
+    cut = cum.select(rep.alias("cut_rep"), k.alias("k"), "users_before", "n_null", "total")
+    # users with the cut-off reputation, positioned by id through buckets;
+    # ``cut`` is one row (LIMIT 1), so broadcasting it is bounded
+    tied = (base.join(F.broadcast(cut), rep == F.col("cut_rep"))
             .withColumn("bucket", idiv(F.col("id"), F.lit(id_bucket))))
-    per_bucket = tied.groupBy("bucket").agg(F.count(F.lit(1)).alias("bn"))
+    per_bucket = tied.groupBy("bucket", "k").agg(F.count(F.lit(1)).alias("bn"))
     wb = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    k_value = cut.select("k").scalar()
     spans = (per_bucket.withColumn("before", F.sum("bn").over(wb) - F.col("bn"))
-             .withColumn("k", k_value)
              .where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("before") + F.col("bn")))
              .select("bucket", "before"))
     wi = Window.partitionBy("bucket").orderBy("id")
-    pick = (tied.join(F.broadcast(spans), "bucket")
+    pick = (tied.join(F.broadcast(spans), "bucket")  # spans: the one bucket holding position k
             .withColumn("pos", F.row_number().over(wi) + F.col("before"))
             .where(F.col("pos") == F.col("k")))
     return pick.select(
