@@ -55,9 +55,17 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert no_oracle <= {"list_files_filtered"}
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
-    sdf = entry.queries()[key](spark, SF).toPandas()
-    odf = duck.execute(entry.oracle_sql()[key]).df()
+    df = entry.queries()[key](spark, SF)
+    rel = duck.sql(entry.oracle_sql()[key])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
+    sdf = df.toPandas()
+    odf = rel.df()
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert _digest(sdf) == _digest(odf)
