@@ -25,6 +25,14 @@ from qalake.registry import bodies  # noqa: E402
 from qalake.session import build_session, scratch_path  # noqa: E402
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def timed(df) -> float:
     t = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()
@@ -80,7 +88,7 @@ def main() -> None:
     if os.environ.get("BENCH_INGEST", "1") == "1":
         ingest_sec = round(_ingest(spark, qa), 3)
     print(json.dumps({"metric": "analytics_total_sec", "value": total, "unit": "sec",
-                      "queries": per_query, "sf": os.path.basename(sf_dir).replace("sf", ""),
+                      "queries": per_query, "sf": _sf_value(sf_dir),
                       "stage_sec": round(stage_sec, 3), "ingest_sec": ingest_sec, "cpus": cpus,
                       "layout": f"bucketed{buckets}" if buckets else "parquet"}))
     spark.stop()
