@@ -180,7 +180,7 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "posts-stream"), scratch_path(spark, "posts-stream-ckpt")
     for _ in range(2):
         ingest_stream(spark, f"{src}/*", spec("posts"), out, ckpt).awaitTermination()
-    return spark.read.parquet(out).select(*POST_COLS)
+    return spark.read.parquet(out).select(*POST_COLS)  # batch_id folders are not a column here
 
 
 PIECE = 1024
