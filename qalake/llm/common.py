@@ -192,3 +192,51 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         seen = tuple(now)
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+class WordStore:
+    """Ids of words in growing flat arrays; expands a sequence of word numbers to their ids."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.int32)
+        self.start = np.zeros(1 << 14, np.int64)
+        self.size = np.zeros(1 << 14, np.int64)
+        self.rows = self.used = 0
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> int:
+        """Append the id lists (flat, with their lengths); returns the number of the first."""
+        first, n, k = self.rows, len(counts), len(ids)
+        while self.rows + n > len(self.start):
+            self.start = np.concatenate((self.start, np.zeros_like(self.start)))
+            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
+        while self.used + k > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[self.used:self.used + k] = ids
+        self.size[first:first + n] = counts
+        self.start[first:first + n] = self.used + np.cumsum(counts) - counts
+        self.rows += n
+        self.used += k
+        return first
+
+    def learn(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = self.add(ids, counts)
+        self.known.update(zip(words, range(first, first + len(words))))
+
+    def ids_of(self, number: int) -> np.ndarray:
+        return self.flat[self.start[number]:self.start[number] + self.size[number]]
+
+    def expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ids per number) of a sequence of word numbers."""
+        n = self.size[numbers]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        take = np.arange(total) + np.repeat(self.start[numbers] - (ends - n), n)
+        return self.flat[take], n
+
+
+def sums_by_row(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values`` whose lengths are ``counts``."""
+    total = np.concatenate(([0], np.cumsum(values)))
+    at = np.concatenate(([0], np.cumsum(counts)))
+    return total[at[1:]] - total[at[:-1]]

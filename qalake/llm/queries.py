@@ -26,7 +26,17 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("decoded") == plain).alias("round_trip"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position, length and checksum of every document's ids, read back from the written files."""
+    import public_tokenizers
+
+    from qalake.llm.token_files import token_files
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_files(docs, str(public_tokenizers.path("word_bpe_49k.json")), end_id=1)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op9_token_files": op9_token_files,
 }
 ORACLES: dict[str, str] = {}

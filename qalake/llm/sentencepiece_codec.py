@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from qalake.llm.common import U64, gathered, mix64, prefix_sums, span_hashes
+from qalake.llm.common import U64, WordStore, gathered, mix64, prefix_sums, span_hashes, sums_by_row
 
 SPACE = "▁"
 #: Words that one task keeps with their ids (a bound on its memory; the results do not depend on it).
@@ -266,8 +266,7 @@ class Encoder:
     def __init__(self, path: str):
         self.m = load_model(path)
         self.follows = _Pairs(self.m)
-        self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.store = WordStore()
         self._run: dict[int, list[int]] = {}
 
     def _word_ids(self, words: list[str]) -> None:
@@ -280,12 +279,12 @@ class Encoder:
             else:
                 by.setdefault(len(w), []).append(w)
         for part in {x for parts in cut.values() for x in parts}:
-            if part not in self.known:
+            if part not in self.store.known:
                 by.setdefault(len(part), []).append(part)
         self._equal_words(by)
         for w, parts in cut.items():
-            self.known[w] = len(self.ids)
-            self.ids.append(np.concatenate([self.ids[self.known[x]] for x in parts]))
+            ids, n = self.store.expand(np.array([self.store.known[x] for x in parts]))
+            self.store.learn([w], ids, np.array([n.sum()]))
 
     def _fragments(self, word: str) -> list[str]:
         """Cut a word between characters that no piece holds side by side: nothing merges there."""
@@ -306,10 +305,7 @@ class Encoder:
                 ids, n = _encode_equal(self.m, self.follows, points, len(part), size)
                 if (ids < 0).any():
                     ids, n = self._bytes(ids, n)
-                at = np.cumsum(n) - n
-                for w, a, k in zip(part, at.tolist(), n.tolist()):
-                    self.known[w] = len(self.ids)
-                    self.ids.append(ids[a:a + k].astype(np.int32))
+                self.store.learn(part, ids, n)
 
     def _bytes(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters outside the vocabulary as byte pieces."""
@@ -338,8 +334,9 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids per text)."""
-        if len(self.known) > KEPT_WORDS:
-            self.known, self.ids = {}, []
+        if len(self.store.known) > KEPT_WORDS:
+            self.store = WordStore()
+        known = self.store.known
         texts = pc.cast(texts, pa.large_string()).fill_null("")
         empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         texts = pc.replace_substring(texts, SPACE, " ")
@@ -352,59 +349,46 @@ class Encoder:
             keep = np.repeat(~empty, count)
             code = code[keep]
             count = np.where(empty, 0, count)
-        new = [w for w in words if w not in self.known and w != SPACE]
+        new = [w for w in words if w not in known and w != SPACE]
         if new:
             self._word_ids(new)
         blank = words.index(SPACE) if SPACE in words else -1
-        own = [np.zeros(0, np.int32) if w == SPACE else self.ids[self.known[w]] for w in words]
-        if (code == blank).any():
-            own, code = self._with_runs(words, own, code, count, blank)
+        number = np.array([-1 if w == SPACE else known[w] for w in words], np.int64)
         if not len(code):
             return np.zeros(0, np.int32), np.zeros(len(count), np.int64)
-        size = np.array([len(x) for x in own], np.int64)
-        flat = np.concatenate(own) if own else np.zeros(0, np.int32)
-        start = np.cumsum(size) - size
-        n = size[code]
-        ends = np.cumsum(n)
-        take = np.arange(ends[-1]) + np.repeat(start[code] - (ends - n), n)
-        total = np.concatenate(([0], ends))
-        row = np.concatenate(([0], np.cumsum(count)))
-        return flat[take], total[row[1:]] - total[row[:-1]]
-
-    def _with_runs(self, words, own, code, count, blank):
-        """Runs of blanks: an empty word lends its blank to the next word of its text.
+        number = self._with_runs(number, code, count, blank) if (code == blank).any() else number[code]
+        flat, n = self.store.expand(number)
+        return flat, sums_by_row(n, count)
+
+    def _with_runs(self, number, code, count, blank):
+        """Word numbers with runs of blanks: an empty word lends its blank to the next word of its text.
 
         The last blank of a run merges with the word behind it first; the others
         merge among themselves, with the word's blank too where that stayed alone.
         """
-        own = list(own)
+        store, none = self.store, self.store.add(np.zeros(0, np.int32), np.array([0]))
         is_blank = code == blank
         row_end = np.zeros(len(code), bool)
-        ends = np.cumsum(count)
-        row_end[ends[count > 0] - 1] = True
-        code = code.copy()
+        row_end[np.cumsum(count)[count > 0] - 1] = True
+        out = number[code]
         seen: dict[tuple[int, int], int] = {}
         run, alone = 0, self.m.chars.get(SPACE)
         for i in np.flatnonzero(is_blank | np.concatenate(([False], is_blank[:-1] & ~row_end[:-1]))).tolist():
             if is_blank[i]:
                 run += 1
                 if not row_end[i]:
-                    code[i] = blank  # lent to the next word: no ids of its own
+                    out[i] = none  # lent to the next word
                     continue
-                key = (-1, run)
-                if key not in seen:
-                    seen[key] = len(own)
-                    own.append(np.array(self._blank_run(run), np.int32))
+                key, ids, lone = (-1, run), np.zeros(0, np.int32), 0
             else:
-                key = (int(code[i]), run)
-                if key not in seen:
-                    ids = own[code[i]]
-                    lone = int(len(ids) > 0 and ids[0] == alone)
-                    seen[key] = len(own)
-                    own.append(np.concatenate((np.array(self._blank_run(run + lone), np.int32), ids[lone:])))
-            code[i] = seen[key]
+                key, ids = (int(out[i]), run), store.ids_of(out[i])
+                lone = int(len(ids) > 0 and ids[0] == alone)
+            if key not in seen:
+                ids = np.concatenate((np.array(self._blank_run(run + lone), np.int32), ids[lone:]))
+                seen[key] = store.add(ids, np.array([len(ids)]))
+            out[i] = seen[key]
             run = 0
-        return own, code
+        return out
 
 
 def decode_ids(m: Model, ids: np.ndarray, count: np.ndarray) -> list[str]:
