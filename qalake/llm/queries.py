@@ -35,8 +35,16 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, str(public_tokenizers.path("word_bpe_49k.json")), end_id=1)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all documents takes of each."""
+    from qalake.llm.mixing import mix
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "n_copies", "finish_time")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op7_mixing": op7_mixing,
     "op9_token_files": op9_token_files,
 }
 ORACLES: dict[str, str] = {}
