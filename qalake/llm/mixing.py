@@ -57,7 +57,8 @@ def targets(sources: DataFrame, max_copies: int = 3) -> DataFrame:
             .withColumn("_rest", F.col("_total") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)))
             .withColumn("_weights", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
             .withColumn("_level", F.col("_rest") / F.col("_weights")))
-    level = F.min(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level"))).over(every)
+    # the first such level is the final one; those after it are lower
+    level = F.max(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level"))).over(every)
     return rows.withColumn("target", F.least(F.col("_cap"), level * F.col("weight"))).select(*sources.columns, "target")
 
 
@@ -65,7 +66,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, doc_id: str = "doc_id
         source: str = "source", max_copies: int = 3, seed: int = 42) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, n_copies, taken, finish_time.
 
-    ``weights`` has (source, weight); without it, ``default_weights``. n_copies is
+    ``weights`` has (source, weight above 0); without it, ``default_weights``. n_copies is
     the number of copies in the mix, finish_time the virtual time of the first.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"))
