@@ -26,6 +26,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("decoded") == plain).alias("round_trip"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text."""
+    from qalake.llm.quality import quality
+    return quality(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                   _table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position, length and checksum of every document's ids, read back from the written files."""
     import public_tokenizers
@@ -45,6 +52,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
 }
 ORACLES: dict[str, str] = {}
