@@ -49,10 +49,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "n_copies", "finish_time")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    from qalake.llm.toxicity import toxicity
+    return toxicity(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                    _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
