@@ -42,6 +42,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, str(public_tokenizers.path("word_bpe_49k.json")), end_id=1)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text."""
+    from qalake.llm.pii import find
+    return find(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all documents takes of each."""
     from qalake.llm.mixing import mix
@@ -58,6 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_pii": op3_pii,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
