@@ -42,6 +42,31 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, str(public_tokenizers.path("word_bpe_49k.json")), end_id=1)
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    from qalake.llm.search import top_k
+    return top_k(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+#: Score of two vectors' whole numbers; DuckDB multiplies them as doubles, exactly at these sizes.
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n, vec_id, score
+  FROM s
+)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole text."""
     from qalake.llm.pii import find
@@ -64,10 +89,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_top_k": op2_top_k,
     "op3_pii": op3_pii,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_top_k": OP2_SQL,
+}
