@@ -73,6 +73,33 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and kept rows of all embeddings at cosine 0.95."""
+    from qalake.llm.vector_dedup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), part AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, part.component_id, e.vec_id = part.component_id AS kept
+FROM embeddings e JOIN part ON e.vec_id = part.a LEFT JOIN n ON e.vec_id = n.a
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all documents takes of each."""
     from qalake.llm.mixing import mix
@@ -91,6 +118,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_top_k": op2_top_k,
     "op3_pii": op3_pii,
+    "op5_vector_dedup": op5_vector_dedup,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
@@ -98,4 +126,5 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_top_k": OP2_SQL,
+    "op5_vector_dedup": OP5_SQL,
 }
