@@ -100,6 +100,12 @@ FROM embeddings e JOIN part ON e.vec_id = part.a LEFT JOIN n ON e.vec_id = n.a
 """
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by two-word shingles."""
+    from qalake.llm.minhash import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), words=2)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all documents takes of each."""
     from qalake.llm.mixing import mix
@@ -119,6 +125,7 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_pii": op3_pii,
     "op5_vector_dedup": op5_vector_dedup,
+    "op6_minhash": op6_minhash,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
