@@ -73,6 +73,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a 100-byte string which also starts earlier covers."""
+    from qalake.llm.suffix_dedup import deduplicate
+    return deduplicate(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, components and kept rows of all embeddings at cosine 0.95."""
     from qalake.llm.vector_dedup import near_duplicates
@@ -124,6 +130,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_top_k": op2_top_k,
     "op3_pii": op3_pii,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_minhash": op6_minhash,
     "op7_mixing": op7_mixing,
