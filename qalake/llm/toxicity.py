@@ -4,7 +4,7 @@ Texts are lower-cased (A-Z) UTF-8 bytes with runs of white space as one blank an
 a blank at either end. Their n-grams of ``SIZES`` bytes fall into 2**BITS buckets.
 From the training rows each bucket gets the log ratio of its smoothed document
 shares in the two classes; buckets whose ratio stands out of its sampling error
-(``Z``) are features, with that ratio as their value where a text has the bucket.
+(``Z``) are features (``FEATURES`` at most), with that ratio as their value where a text has the bucket.
 A logistic model over the features is fitted by gradient descent.
 
 Training looks at ``TRAIN_ROWS`` labelled rows of each class at most (those with
@@ -35,6 +35,8 @@ SIZES, BITS = (4, 5, 6), 20
 TRAIN_ROWS = 6000
 #: Standard errors by which a bucket's log ratio must differ from 0.
 Z = 4.0
+#: Features of a model at most: the significant buckets of the greatest ratios.
+FEATURES = 8192
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -111,33 +113,24 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     order = Window.partitionBy("y").orderBy("_h", "_id")  # about TRAIN_ROWS rows of a class
     chosen = chosen.withColumn("_h", F.xxhash64(F.lit(18), "_id")).withColumn("_n", F.row_number().over(order)) \
         .where(F.col("_n") <= TRAIN_ROWS).select("_id", "y")
-    return docs.join(F.broadcast(chosen), docs[doc_id] == F.col("_id")).select("y", F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("y", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         steps: int = 300, penalty: float = 1e-4) -> Classifier:
     """Fit on labelled rows (see TRAIN_ROWS): bucket statistics on Spark, the logistic model on the driver."""
 
-    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in gathered(batches, "text"):
-            row, bucket = document_buckets(b.column(1))
-            off = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=b.num_rows)))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(bucket.astype(np.int32)))],
-                ["y", "buckets"])
-
-    rows = training_rows(docs, labels, doc_id, text, label).mapInArrow(buckets, "y int, buckets array<int>")
-    rows = materialize(rows, "toxicity-buckets")
+    rows = materialize(training_rows(docs, labels, doc_id, text, label), "toxicity-training")
     size = 1 << BITS
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((2, size + 1), np.int64)
-        for b in batches:
+        for b in gathered(batches, "text"):
             y = b.column(0).to_numpy()
-            k = np.diff(b.column(1).offsets.to_numpy())
-            flat = b.column(1).flatten().to_numpy()
+            row, bucket = document_buckets(b.column(1))
             for c in (0, 1):
-                n[c, :size] += np.bincount(flat[np.repeat(y, k) == c], minlength=size)
+                n[c, :size] += np.bincount(bucket[y[row] == c], minlength=size)
                 n[c, size] += (y == c).sum()
         at = np.flatnonzero(n.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[0, at]), pa.array(n[1, at])], ["bucket", "n0", "n1"])
@@ -154,23 +147,21 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     p1, p0 = (F.col("n1") + 0.5) / (n1 + 1), (F.col("n0") + 0.5) / (n0 + 1)
     error = F.sqrt((1 - p1) / (F.col("n1") + 0.5) + (1 - p0) / (F.col("n0") + 0.5))
     feats = (got.where((F.col("bucket") < size) & (F.col("n0") + F.col("n1") >= 5))
-             .withColumn("r", F.log(p1 / p0)).where(F.abs("r") > Z * error).select("bucket", "r").toPandas())
+             .withColumn("r", F.log(p1 / p0)).where(F.abs("r") > Z * error)
+             .orderBy(F.abs("r").desc(), "bucket").limit(FEATURES).select("bucket", "r").toPandas())
     ratio = np.zeros(size)
     ratio[feats["bucket"]] = feats["r"]
     known = ratio != 0
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            flat = b.column(1).flatten().to_numpy()
-            k = np.diff(b.column(1).offsets.to_numpy())
-            use = known[flat]
-            row = np.repeat(np.arange(len(k)), k)[use]
-            off = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(k))))).astype(np.int32)
+        for b in gathered(batches, "text"):
+            row, bucket = document_buckets(b.column(1), known)
+            off = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=b.num_rows)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(flat[use].astype(np.int32)))],
+                [b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(bucket.astype(np.int32)))],
                 ["y", "buckets"])
 
-    train = rows.mapInArrow(only, rows.schema).toArrow()  # 2 * TRAIN_ROWS rows of features
+    train = rows.mapInArrow(only, "y int, buckets array<int>").toArrow()  # 2 * TRAIN_ROWS rows of features
     col = train.column("buckets").combine_chunks()
     y = train.column("y").to_numpy().astype(float)
     bucket = col.flatten().to_numpy()
