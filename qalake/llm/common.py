@@ -18,7 +18,9 @@ from qalake.session import scratch_path
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step looks at together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: The same for steps that look words up: larger slices repeat more of them.
+WORD_SLICE_BYTES = 4 << 20
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -86,7 +88,7 @@ def gathered(batches: Iterator[pa.RecordBatch], text: str,
     size = 0
     for b in slices(batches, text, limit):
         kept.append(b)
-        size += b.get_total_buffer_size() if b.num_rows < 2 else int(utf8_bytes(b.column(text))[1][-1])
+        size += int(utf8_bytes(b.column(text))[1][-1])
         if size >= limit:
             yield _joined(kept)
             kept, size = [], 0

@@ -130,6 +130,8 @@ def candidates(text: str) -> list[Span]:
 #: Words before a span that speak for or against a kind. Fixed values.
 _FOR = {"phone": ("tel", "phone", "call", "fax", "mobile", "cell", "dial"), "card": ("card", "visa", "credit", "amex"),
         "email": ("mail", "contact", "write", "reach"), "ip": ("ip", "host", "server", "address", "addr")}
+_TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io co ai app dev eu uk us ca au de fr es it nl be ch at "
+                         "pl se no fi dk pt ie cz ru cn jp kr in br mx za nz".split())
 _AGAINST = ("version", "isbn", "issn", "page", "vol", "section", "license", "licence", "order", "serial")
 
 
@@ -152,6 +154,7 @@ def features(text: str, span: Span) -> list[float]:
         float(any(w in before for w in _FOR[kind])), float(any(w in before for w in _AGAINST)),
         float(text[a - 1:a].isspace() or a == 0), float(after == "" or after.isspace() or after in ".,;"),
         float(s.count(":")), float(digits[:1] == "0"),
+        float(kind == "email" and re.split(r"[^A-Za-z0-9]+", s.rstrip(")]}> "))[-1].lower() in _TOP_DOMAINS),
     ]
 
 
@@ -161,6 +164,10 @@ def _respelled(text: str, span: Span, h: int) -> tuple[str, Span] | None:
     s = text[a:b]
     if kind == "email":
         user, _, host = s.partition("@")
+        if h & 16:  # not every address has digits
+            user, host = re.sub("[0-9]", "", user).strip(".") or "me", re.sub("[0-9]", "", host)
+        if h & 32:  # nor a third label
+            host = ".".join(host.split(".")[-2:])
         at, dot = [(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " [dot] ")][h % 4]
         new = user + at + host.replace(".", dot)
     elif kind == "phone":
@@ -187,6 +194,11 @@ def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
         text, span = _respelled(doc, c, h)
         if span in candidates(text):
             yield features(text, span), 1, int(h % 4 == 0)
+        if c[0] == "email":  # ordinary words around "at" and "dot" are no address
+            w = re.findall("[A-Za-z]{2,}", doc[max(0, c[1] - 80):c[1]])[-3:]
+            if len(w) == 3 and w[2].lower() not in _TOP_DOMAINS:
+                text = f"{w[0]} at {w[1]} dot {w[2]} " if h & 32 else f"{w[0]} at {w[1]} dot {w[0]} dot {w[2]} "
+                yield features(text, ("email", 0, len(text) - 1)), 0, int(h % 4 == 0)
 
 
 class _Taken:

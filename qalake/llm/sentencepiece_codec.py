@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from qalake.llm.common import U64, WordStore, gathered, mix64, prefix_sums, span_hashes, sums_by_row
+from qalake.llm.common import U64, WORD_SLICE_BYTES, WordStore, gathered, mix64, prefix_sums, span_hashes, sums_by_row
 
 SPACE = "▁"
 #: Words that one task keeps with their ids (a bound on its memory; the results do not depend on it).
@@ -419,7 +419,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(model_path)
-        for b in gathered(batches, text):
+        for b in gathered(batches, text, WORD_SLICE_BYTES):
             flat, n = enc.encode(b.column(text))
             off = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
             col = pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int32()))

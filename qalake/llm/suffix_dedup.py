@@ -179,7 +179,7 @@ def _fetch(open_rows: DataFrame, docs: DataFrame, most: int) -> DataFrame:
     big = open_rows.groupBy("a").count().where(F.col("count") > most).select(F.col("a").alias("_a"))
     marked = open_rows.join(big, F.col("a") == F.col("_a"), "left").withColumn("split", F.col("_a").isNotNull())
     lists = marked.groupBy("doc", "fp").agg(F.collect_list(F.struct("a", "place", "split")).alias("items"))
-    both = lists.join(docs.dropDuplicates(["doc", "fp"]) if _repeats(docs) else docs, ["doc", "fp"])
+    both = lists.join(docs, ["doc", "fp"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in gathered(batches, "text"):
@@ -230,11 +230,6 @@ def _parts(kind: int, a, b, doc, fp, place, text: pa.Array | None = None) -> pa.
         ["kind", "a", "b", "doc", "fp", "place", "bytes"])
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether rows share an id and a text (fp is 0 where all ids differ)."""
-    return bool(docs.where("fp <> 0").limit(1).count())
-
-
 def sort_block(bucket: np.ndarray, order_key: list[np.ndarray], shift: np.ndarray, more: np.ndarray,
                data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows with an earlier equal one in their bucket: (context, least step, greatest step).
@@ -338,16 +333,16 @@ def _sort_buckets(contexts: DataFrame) -> DataFrame:
         run, "doc long, fp long, start long, end long")
 
 
-def _document_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (doc, fp, text); fp tells rows of equal ids apart and is 0 where all ids differ."""
+def _document_rows(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, bool]:
+    """Rows (doc, fp, text) and whether ids repeat; fp tells rows of equal ids apart and is 0 where all differ."""
     ids = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col(text).alias("text"))
     clash = bool(ids.groupBy("doc").count().where("count > 1").limit(1).count())
     fp = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseOR(F.lit(1)) if clash else F.lit(0).cast("long")
-    return ids.select("doc", fp.alias("fp"), "text")
+    return ids.select("doc", fp.alias("fp"), "text"), clash
 
 
 def removed_spans(rows: DataFrame) -> DataFrame:
-    """Spans (doc, fp, start, end) to remove from rows (doc, fp, text); spans of a document may overlap."""
+    """Spans (doc, fp, start, end) to remove from distinct rows (doc, fp, text); spans of a document may overlap."""
     parts = shuffle_partitions(rows.sparkSession)
     found = _find_anchors(rows).repartition(parts, "a").sortWithinPartitions("a", "x", "doc", "fp", "place")
     settled = materialize(_settle(found), "suffix-contexts")
@@ -367,8 +362,9 @@ def removed_spans(rows: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_bytes: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes)."""
-    rows = _document_rows(docs, doc_id, text)
-    spans = removed_spans(rows).groupBy("doc", "fp").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    rows, clash = _document_rows(docs, doc_id, text)
+    once = rows.dropDuplicates(["doc", "fp"]) if clash else rows
+    spans = removed_spans(once).groupBy("doc", "fp").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     both = rows.join(spans, ["doc", "fp"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qalake.llm.common import WordStore, gathered, materialize, sums_by_row, utf8_bytes
+from qalake.llm.common import WORD_SLICE_BYTES, WordStore, gathered, materialize, sums_by_row, utf8_bytes
 from qalake.session import scratch_path
 
 #: Words that one task keeps with their ids (a bound on its memory; the results do not depend on it).
@@ -132,7 +132,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc
         kind = np.uint16 if max(enc.vocab, end_id + 1) <= 1 << 16 else np.uint32
         total = np.zeros(max(enc.vocab, end_id + 1), np.int64)
         id_arrow = None
-        for b in gathered(batches, "text"):
+        for b in gathered(batches, "text", WORD_SLICE_BYTES):
             id_arrow = b.column(0).type
             flat, n = enc.encode(b.column(1))
             ends = np.cumsum(n)

@@ -1,0 +1,92 @@
+"""Base spans against plain regular expressions; added spans; redaction; odd rows."""
+
+import hashlib
+import random
+import re
+import time
+
+from qalake.llm.boosting import BoostedTrees
+from qalake.llm.pii import KINDS, base_spans, find, fit, luhn, redact, redact_text
+
+from .data import documents, odd_documents, table
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+            "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute(text):
+    out = []
+    for k in KINDS:
+        for m in re.finditer(PATTERNS[k], text):
+            d = re.sub("[^0-9]", "", m.group())
+            if k == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if k == "card" and not (13 <= len(d) <= 19 and luhn(d)):
+                continue
+            if k == "phone" and not 9 <= len(d) <= 15:
+                continue
+            out.append((k, *m.span()))
+    return out
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(3)
+    pieces = ["4532015112830366", " ", "-", "1", "+", "255.", "1.2.3.4", "a.b@c.de", "@x.y", "é", "(", ")", "_", "%"]
+    for i in range(20_000):
+        t = ("".join(rng.choice("a@.-+ 0123459(_é%") for _ in range(rng.randint(0, 40))) if i % 2
+             else "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))))
+        assert base_spans(t) == brute(t), t
+
+
+def test_scans_are_linear(spark):
+    model = fit(table(spark, "/root/testdata/sf0.01", "documents"))
+    for t in ("1" * 100_000, "a" * 100_000, "+1 " * 30_000, "a@" * 50_000, "1.2." * 30_000, "a@b.cc " * 15_000, " dot a at b" * 8_000):
+        began = time.time()
+        model.spans(t)
+        assert time.time() - began < 20
+
+
+def test_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = find(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r["doc_id"]])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in base) for k in KINDS]
+        assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r["spans"].split(","))
+
+
+def test_trees_add_other_spellings_and_leave_clean_text(spark):
+    model = fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    added = lambda t: [(k, t[a:b]) for k, a, b in model.added(t, base_spans(t))]
+    assert added("mail bob.x at example dot com now") == [("email", "bob.x at example dot com")]
+    assert added("tel (212) 555-1234 ok") == [("phone", "(212) 555-1234")]
+    for clean in ("Licensed under CC BY-NC 4.0.", "version 1.2.3 of 2024-01-02", "look at the dot on the page", "", "it was 12:30"):
+        assert added(clean) == []
+
+
+def test_redaction(spark):
+    assert redact_text("a b@c.de x 1.2.3.4!", base_spans("a b@c.de x 1.2.3.4!")) == "a [email] x [ip]!"
+    docs = documents(spark)
+    out = redact(docs)
+    assert out.columns == docs.columns and out.count() == len(odd_documents())
+
+
+def test_odd_rows_and_empty_table(spark):
+    got = find(documents(spark)).collect()
+    assert len(got) == len(odd_documents()) and all(r["spans"] == "" for r in got)
+    assert find(documents(spark, [])).count() == 0
+    assert redact(documents(spark, [])).count() == 0
+
+
+def test_boosted_trees_learn_a_rule():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(2000, 5))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 3] < -0.2)).astype(float)
+    m = BoostedTrees().fit(x[:1500], y[:1500])
+    assert ((m.predict(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
