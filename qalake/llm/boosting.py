@@ -20,7 +20,7 @@ class BoostedTrees:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         n, k = x.shape
-        edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(k)]
+        edges = [self._edges(x[:, j]) for j in range(k)]
         code = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], 1)
         share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
         self.start, self.trees = float(np.log(share / (1 - share))), []
@@ -51,6 +51,13 @@ class BoostedTrees:
             z += value[leaf]
         return self
 
+    def _edges(self, v: np.ndarray) -> np.ndarray:
+        """Limits between bins: every value's own if there are few values, else quantiles."""
+        own = np.unique(v)
+        if len(own) > self.bins:
+            return np.unique(np.quantile(v, np.linspace(0, 1, self.bins + 1)[1:-1]))
+        return own[:-1]
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Probabilities of class 1."""
         z = np.full(len(x), self.start)

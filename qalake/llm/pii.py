@@ -193,12 +193,12 @@ def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
         h = int(hashlib.md5(doc[c[1]:c[2]].encode("utf-8", "replace")).hexdigest()[:4], 16)
         text, span = _respelled(doc, c, h)
         if span in candidates(text):
-            yield features(text, span), 1, int(h % 4 == 0)
+            yield features(text, span), 1, int((h >> 8) % 4 == 0)
         if c[0] == "email":  # ordinary words around "at" and "dot" are no address
             w = re.findall("[A-Za-z]{2,}", doc[max(0, c[1] - 80):c[1]])[-3:]
             if len(w) == 3 and w[2].lower() not in _TOP_DOMAINS:
                 text = f"{w[0]} at {w[1]} dot {w[2]} " if h & 32 else f"{w[0]} at {w[1]} dot {w[0]} dot {w[2]} "
-                yield features(text, ("email", 0, len(text) - 1)), 0, int(h % 4 == 0)
+                yield features(text, ("email", 0, len(text) - 1)), 0, int((h >> 8) % 4 == 0)
 
 
 class _Taken:
