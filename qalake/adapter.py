@@ -47,8 +47,8 @@ SELECT CAST(o.o_orderkey * 8 AS INT) AS id, 1 AS post_type_id,
        CAST(o.o_orderkey % 11 AS INT) - 2 AS score,
        CAST(floor(o.o_totalprice / 1000) AS INT) AS view_count,
        'How to ' || o.o_orderpriority AS body,
-       CAST(CASE WHEN o.o_orderkey % 37 = 0 THEN NULL ELSE o.o_custkey % 100 END AS INT) AS owner_user_id,
-       CAST(CASE WHEN o.o_orderkey % 3 = 0 THEN o.o_custkey % 50 END AS INT) AS last_editor_user_id,
+       CAST(CASE WHEN o.o_orderkey % 37 = 0 THEN NULL WHEN o.o_orderkey % 4 = 0 THEN o.o_custkey % 100 ELSE o.o_custkey END AS INT) AS owner_user_id,
+       CAST(CASE WHEN o.o_orderkey % 6 = 0 THEN o.o_custkey % 50 WHEN o.o_orderkey % 3 = 0 THEN o.o_custkey END AS INT) AS last_editor_user_id,
        o.o_orderdate AS last_activity_date,
        CASE WHEN o.o_orderkey % 2 = 0 THEN o.o_orderpriority
             ELSE o.o_orderpriority || ' and a longer title' END AS title,
@@ -63,13 +63,15 @@ LEFT JOIN (SELECT parent_id, count(*) AS n, min(id) AS first_answer
        ON a.parent_id = o.o_orderkey * 8
 UNION ALL
 SELECT id, 2, NULL, parent_id, creation_date, score, NULL, body, owner_user_id,
-       CASE WHEN id % 5 = 0 THEN CAST(id % 50 AS INT) END,
+       CASE WHEN id % 10 = 0 THEN CAST(id % 50 AS INT) WHEN id % 5 = 0 THEN owner_user_id + 1 END,
        creation_date, NULL, NULL, NULL, NULL,
        CASE WHEN id % 31 = 0 THEN creation_date END
 FROM {se_answers}"""),
     ("se_votes", """
 SELECT CAST(event_id AS INT) AS id,
-       CAST((event_id % 500) * 8 + (event_id % 3) AS INT) AS post_id,
+       -- spread over all questions and their answers; one vote in ten goes to few hot ones
+       CAST((CASE WHEN event_id % 10 = 0 THEN event_id % 50
+                  ELSE (event_id * 7919) % (SELECT count(*) FROM {orders}) END) * 8 + (event_id % 3) AS INT) AS post_id,
        CASE event_type WHEN 'click' THEN 2 WHEN 'view' THEN 2 WHEN 'error' THEN 3
                        WHEN 'purchase' THEN 9 ELSE 1 END AS vote_type_id,
        ts AS creation_date,
@@ -83,12 +85,15 @@ SELECT CAST(event_id AS INT) AS id, CAST(user_id AS INT) AS user_id,
 FROM {events}
 WHERE event_type IN ('signup', 'view')"""),
     ("se_comments", """
-SELECT CAST(doc_id AS INT) AS id, CAST((doc_id % 100) * 8 AS INT) AS post_id,
+SELECT CAST(doc_id AS INT) AS id,
+       CAST((CASE WHEN doc_id % 5 = 0 THEN doc_id % 100
+                  ELSE (doc_id * 31) % (SELECT count(*) FROM {orders}) END) * 8 AS INT) AS post_id,
        CAST(n_chars % 7 AS INT) AS score,
        CASE WHEN doc_id % 4 = 0 THEN 'try www.site' || CAST(doc_id % 50 AS VARCHAR(10)) || '.example now'
             ELSE text END AS text,
        CAST(CAST('2001-07-01' AS DATE) + CAST(doc_id % 120 AS INT) AS {TS}) AS creation_date,
-       CAST(doc_id % 100 AS INT) AS user_id
+       CAST(CASE WHEN doc_id % 3 = 0 THEN doc_id % 100
+                 ELSE doc_id % (SELECT count(*) FROM {customer}) END AS INT) AS user_id
 FROM {documents}"""),
     # the tag dimension of the adapter: a fixed list of seven tags
     ("se_tags", """

@@ -57,7 +57,9 @@ def _like_literal_is_plain(site: str) -> str | None:
     out, i = [], 0
     while i < len(site):
         ch = site[i]
-        if ch == "!" and i + 1 < len(site):
+        if ch == "!" and i + 1 == len(site):
+            return None  # it escapes the wildcard behind the site
+        if ch == "!":
             out.append(site[i + 1])
             i += 2
             continue
@@ -95,7 +97,7 @@ def q30_vanity_search(users: DataFrame, posts: DataFrame, comments: DataFrame,
     hits = None
     for r in rows:  # one row per user with this id (the key): normally exactly one
         plain = _like_literal_is_plain(r["site"])
-        pattern = "%" + _pg_like_to_spark(r["site"]) + "%"
+        pattern = _pg_like_to_spark("%" + r["site"] + "%")
         # a zone-free literal: the text of the NTZ value
         since = F.lit(r["since"].isoformat(sep=" ")).cast("timestamp_ntz")
 

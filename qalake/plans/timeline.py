@@ -24,7 +24,9 @@ def q16_monthly_totals(posts: DataFrame, buckets: int = 12, days: int = 30) -> D
     newest = posts.agg(F.max_by("creation_date", "id")).scalar()
     width = days * _MICROS_PER_DAY
     d = F.timestamp_diff("MICROSECOND", F.col("creation_date"), newest)
-    p = (posts.select("creation_date", F.col("parent_id").isNull().alias("is_q"))
+    oldest = newest - F.make_dt_interval(F.lit(buckets * days))  # a plain bound, which reaches the scan
+    p = (posts.where((F.col("creation_date") >= oldest) & (F.col("creation_date") <= newest))
+         .select("creation_date", F.col("parent_id").isNull().alias("is_q"))
          .select("is_q", d.alias("d"))
          .where((F.col("d") >= 0) & (F.col("d") <= F.lit(buckets * width))))
     first = idiv(F.col("d"), F.lit(width)) + 1

@@ -102,11 +102,11 @@ def _manifest_load(spark: SparkSession, sf: str) -> DataFrame:
 def _manifest_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "posts-staged")
     staging.write_parts(adapter.load(spark, sf).posts, out, "id", shards=8, max_rows_per_part=1000)
-    m = staging.build_manifest(spark, out, table="posts", key="id", columns=POST_COLS,
-                               source="se_posts", shards=8)
-    rows = [(int(p.path.split("/", 1)[0].split("=", 1)[1]), p.path, p.rows, p.bytes) for p in m.parts]
-    listed = spark.createDataFrame(rows, "shard int, path string, rows long, bytes long")
-    return listed.groupBy("shard").agg(F.sum("rows").alias("rows"))
+    staging.build_manifest(spark, out, table="posts", key="id", columns=POST_COLS, source="se_posts", shards=8)
+    stored = spark.read.option("multiLine", True).json(f"{out}/{staging.MANIFEST}")
+    shard = F.regexp_extract("part.path", "^shard=([0-9]+)/", 1).cast("int")
+    return (stored.select(F.explode("parts").alias("part")).groupBy(shard.alias("shard"))
+            .agg(F.sum("part.rows").alias("rows")))
 
 
 def _append_vs_truncate(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,6 +122,12 @@ def _append_vs_truncate(spark: SparkSession, sf: str) -> DataFrame:
         tables.save_table(v.where(F.col("id") % 3 == 0), spark, appended, key="id")
     except ValueError:
         clash = 1
+    repeat = 0
+    new = v.where("id < 100").withColumn("id", F.col("id") - 1000)
+    try:
+        tables.save_table(new.unionAll(new), spark, appended, key="id")
+    except ValueError:
+        repeat = 1
     spark.sql(f"CREATE TABLE {site}.replaced LIKE {appended}")
     replaced = f"{site}.replaced"
     tables.save_table(v, spark, replaced, key="id")
@@ -130,7 +136,9 @@ def _append_vs_truncate(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(spark.table(replaced).agg(F.count(F.lit(1)).alias("rows"))
                          .select(F.lit("overwrite").alias("mode"), "rows"))
             .unionByName(spark.table(appended).agg(F.lit(clash).cast("long").alias("rows"))
-                         .select(F.lit("clash_rejected").alias("mode"), "rows")))
+                         .select(F.lit("clash_rejected").alias("mode"), "rows"))
+            .unionByName(spark.table(appended).agg(F.lit(repeat).cast("long").alias("rows"))
+                         .select(F.lit("repeat_rejected").alias("mode"), "rows")))
 
 
 def _ingest_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,9 +173,35 @@ def _refresh_post_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _list_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the listed parts by folder: the listing joined with the parts' own file names."""
     out = scratch_path(spark, "posts-parts")
     staging.write_parts(adapter.load(spark, sf).posts, out, "id", shards=8, max_rows_per_part=1000)
-    return files.list_files(spark, out, r"re:shard=3/")
+    listed = files.list_files(spark, out, r"re:shard=[35]/").select(
+        "path", F.regexp_extract("rel_path", "^(.*)/", 1).alias("folder"))
+    rows = staging.read_parts(spark, out).select(F.col("_metadata.file_path").alias("path"))
+    return rows.join(listed, "path").groupBy("folder").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _ingest_wrapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts whose rows partly span lines through the pipeline: what its manifest found, and what it loaded."""
+    src = scratch_path(spark, "wrapped-xml")
+    dump.write_dump(adapter.load(spark, sf).posts, f"{src}/Posts.xml", POST_ATTRS, wrap_when=F.col("id") % 10 == 0)
+    out = None
+    for mode in (False, True):
+        site, stage = "site_" + uuid.uuid4().hex[:10], scratch_path(spark, "staging")
+        run_pipeline(spark, PipelineArgs(site=site, source_dir=src, staging_dir=stage, tables=("posts",), wrapped=mode,
+                                         warehouse_dir=scratch_path(spark, "warehouse")))
+        m = staging.read_manifest(spark, f"{stage}/{site}/posts/{staging.MANIFEST}")
+        one = spark.table(f"{site}.posts").agg(F.count(F.lit(1)).alias("loaded")).select(
+            F.lit(mode).alias("wrapped"), F.lit(m.found_rows).cast("long").alias("found"), "loaded")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _padded_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The key column with every second line's keys written with a leading zero."""
+    return _lineitem_keys(spark, sf).withColumn(
+        "id", F.when(F.col("line").cast("int") % 2 == 0, F.concat(F.lit("0"), F.col("id"))).otherwise(F.col("id")))
 
 
 def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -330,7 +364,8 @@ SELECT id, count(*) AS n FROM li WHERE id IS NOT NULL GROUP BY id HAVING count(*
         oracle(body="""
 SELECT 'append' AS mode, count(*) AS rows FROM se_votes
 UNION ALL SELECT 'overwrite', count(*) FROM se_votes
-UNION ALL SELECT 'clash_rejected', CAST(1 AS BIGINT)"""))
+UNION ALL SELECT 'clash_rejected', CAST(1 AS BIGINT)
+UNION ALL SELECT 'repeat_rejected', CAST(1 AS BIGINT)"""))
 
     reg["ingest_all_tables"] = (
         _ingest_all,
@@ -359,7 +394,24 @@ SELECT post_id, tag_id, count(*) AS n FROM pt GROUP BY post_id, tag_id HAVING co
         _refresh_post_tags,
         oracle(adapter.DUCK_POST_TAGS, body="SELECT post_id, tag_id, tag_name FROM se_post_tags"))
 
-    reg["list_files_filtered"] = (_list_files, None)
+    reg["list_files_filtered"] = (
+        _list_files,
+        oracle(body="""
+SELECT 'shard=' || CAST(id % 8 AS VARCHAR) AS folder, count(*) AS rows FROM se_posts
+WHERE id % 8 IN (3, 5) GROUP BY 1"""))
+
+    reg["ingest_wrapped_rows"] = (
+        _ingest_wrapped,
+        oracle(body="""
+SELECT false AS wrapped, count(*) AS found, count(*) FILTER (WHERE id % 10 <> 0) AS loaded FROM se_posts
+UNION ALL SELECT true, count(*), count(*) FROM se_posts"""))
+
+    reg["check_duplicate_keys_typed"] = (
+        lambda s, d: staging.duplicate_keys(_padded_keys(s, d), "id"),
+        oracle(DUCK_LI_KEYS, body="""
+SELECT coalesce(CAST(TRY_CAST(trim(k) AS BIGINT) AS VARCHAR), k) AS id, count(*) AS n
+FROM (SELECT CASE WHEN CAST(line AS INTEGER) % 2 = 0 THEN '0' || id ELSE id END AS k FROM li)
+WHERE k IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""))
 
     reg["piece_hash_audit"] = (
         _piece_audit,

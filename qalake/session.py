@@ -62,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:  # unset: a local folder, as in tests
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if "dir" not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK["dir"] = tempfile.mkdtemp(prefix="qalake-ckpt-")
         configured = _LOCAL_FALLBACK["dir"]
