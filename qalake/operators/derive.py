@@ -47,8 +47,9 @@ def refresh_post_tags(spark: SparkSession, posts: DataFrame, tags: DataFrame,
                       check_unique: bool = True) -> DataFrame:
     """Recompute and store the relation (D3: the materialized view refresh).
 
-    The rows are clustered by post_id so joins on it read co-located data.
-    Overwrite is one commit: readers see the old or the new table.
+    The rows of a post lie together and sorted in the files (joins on post_id
+    still shuffle). An overwrite drops the old files before the new ones are
+    committed, so readers must not rely on the table while it is refreshed.
     """
     pt = post_tags(posts, tags)
     if check_unique:
