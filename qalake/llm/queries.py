@@ -112,6 +112,33 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), words=2)
 
 
+#: Pairs of documents that share a shingle are counted by the join on it; words hold no blanks.
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+                      ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+                 END AS shingles
+  FROM w
+), e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), part AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, part.component_id, s.doc_id = part.component_id AS kept
+FROM s JOIN part ON s.doc_id = part.a
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all documents takes of each."""
     from qalake.llm.mixing import mix
@@ -141,4 +168,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_top_k": OP2_SQL,
     "op5_vector_dedup": OP5_SQL,
+    "op6_minhash": OP6_SQL,
 }
