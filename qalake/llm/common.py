@@ -163,19 +163,71 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix64(h + (end - start).astype(U64) * U64(0xA0761D6478BD642F))
 
 
+def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) for the nodes of the edges a-b that are not the least themselves."""
+    names, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = at[:len(a)], at[len(a):]
+    label = np.arange(len(names))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for x in (a, b, label[a], label[b]):
+            np.minimum.at(new, x, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    at = np.flatnonzero(label != np.arange(len(names)))
+    return names[at], names[label[at]]
+
+
+#: Edges that one forest takes together.
+FOREST_EDGES = 200_000
+
+
+def _forests(e: DataFrame) -> DataFrame:
+    """Edges (a, b) of the forests of blocks of edges: the same components with fewer edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        held = 0
+        for x in batches:
+            kept.append(x)
+            held += x.num_rows
+            if held >= FOREST_EDGES:
+                yield forest(kept)
+                kept, held = [], 0
+        if held:
+            yield forest(kept)
+
+    def forest(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        got = spanning_forest(*(c.to_numpy() for c in t.columns))
+        return pa.RecordBatch.from_arrays([pa.array(c, t.schema.field(0).type) for c in got], names=t.column_names)
+
+    return e.mapInArrow(run, e.schema)
+
+
+def _all_stars(e: DataFrame) -> bool:
+    """Whether every node either has one lower neighbour and no higher one, or higher ones only."""
+    none = F.lit(None).cast(e.schema["b"].dataType)
+    ends = e.select(F.col("a").alias("n"), F.col("b").alias("r")).unionAll(e.select(F.col("b").alias("n"), none.alias("r")))
+    odd = ends.groupBy("n").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.count_if(F.col("r").isNull()).alias("up"))
+    return not odd.where("lo <> hi or (up > 0 and lo is not null)").limit(1).count()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Map every node of ``edges`` to the smallest node that it can reach.
 
-    Alternates large-star and small-star steps until nothing changes; each
-    step is a minimum per node (aggregated before it is shuffled) and a join.
-    Every round is written to the shared folder, so lost executors cost one
-    round at most. Returns (node, component).
+    Blocks of edges become spanning forests first. Then large-star and small-star
+    steps alternate until all edges form stars around least nodes; each step is a
+    minimum per node (aggregated before it is shuffled) and a join. Every round is
+    written to the shared folder, so lost executors cost one round at most.
+    Returns (node, component).
     """
-    e = (edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b"))
-         .where("a <> b").distinct())
-    e = materialize(e, "cc")
-    seen = None
-    while True:
+    e = (edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).where("a <> b"))
+    e = materialize(_forests(e).distinct(), "cc")
+    while not _all_stars(e):
         # large star: neighbours above a node point to the node's least neighbour
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -188,11 +240,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
                  .where("a <> b")
                  .unionByName(low2.select("a", F.col("m").alias("b"))).distinct())
         e = materialize(small, "cc")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now[0] == 0 or seen == tuple(now):
-            break
-        seen = tuple(now)
-    return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 

@@ -185,7 +185,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
               .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")  # else the sizes alone rule it out
               .select("a", "b").distinct())
     more = materialize(confirmed(across, docs, words, percent), "minhash-links")
-    parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "cid")
+    if more.limit(1).count():
+        parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "cid")
 
     named = classes.join(parts, "cid", "left").select(
         "n_shingles", "s1", "s2", F.coalesce("component", "cid").alias("component_id"))

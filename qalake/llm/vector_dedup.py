@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qalake.llm.common import connected_components, materialize, shuffle_partitions
+from qalake.llm.common import connected_components, materialize, shuffle_partitions, spanning_forest
 from qalake.llm.search import finite_rows
 
 #: Rows that centroids and codebooks are fitted on; most inverted lists; subspaces; codewords of a subspace.
@@ -126,24 +126,6 @@ def _units(col: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
-def _forest(a: np.ndarray, b: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, least node of its component) of a graph with links a-b between numbered nodes."""
-    label = np.arange(len(names))
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    at = np.flatnonzero(label != np.arange(len(names)))
-    return names[at], names[label[at]]
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "vec_id", embedding: str = "embedding",
                     margin: float = 3.0) -> DataFrame:
     """One row per row: vec_id, n_links, component_id (least id reachable by links), kept."""
@@ -223,7 +205,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "
         qa = np.concatenate(qa) if qa else np.zeros(0, int)
         ra = np.concatenate(ra) if ra else np.zeros(0, int)
         links = np.bincount(qa, m[ra], minlength=len(q)).astype(np.int64)
-        src, dst = _forest(q[qa], r[ra], cid)
+        src, dst = spanning_forest(cid[q][qa], cid[r][ra])
         some = np.flatnonzero(links)
         return pa.table({"cid": np.concatenate((cid[q][some], src)),
                          "links": pa.array(np.concatenate((links[some], np.zeros(len(src), np.int64)))),
