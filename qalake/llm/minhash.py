@@ -10,9 +10,11 @@ variance of small sets' estimates. Signatures are cut into bands; documents that
 agree in a band are candidates.
 
 Documents with equal sets are one class. Within a band's bucket each class is
-compared with the bucket's least class; then, where a bucket still holds several
-components, every pair across its components. All links are confirmed on the full
-sets of the whole texts. Components are found by joins.
+compared with the bucket's leader, the class that meets the most others. Where a
+bucket then still holds several components, every pair across its components is
+compared; in buckets above ``SMALL`` members, which a common passage fills with
+unlike texts, only pairs that meet in a second bucket. All links are confirmed on
+the full sets of the whole texts. Components are found by joins.
 
 Edge cases. Null texts and texts without words have an empty set and link with
 nothing, nor do null ids (their component is null, they are kept). A text with
@@ -33,8 +35,10 @@ from pyspark.sql import functions as F
 from qalake.llm.common import (BYTE_VALUES, U64, connected_components, gathered, materialize, mix64, prefix_sums,
                                span_hashes, utf8_bytes, word_spans)
 
-#: Bands and rows of a band: a pair at similarity 0.8 shares no band once in 300,000 cases.
-BANDS, ROWS = 24, 4
+#: Bands and rows of a band: of pairs at similarity 0.8 one in 20 million shares no band, one in 900,000 less than two.
+BANDS, ROWS = 32, 4
+#: Members up to which a bucket's pairs are compared as they are.
+SMALL = 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -158,6 +162,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets (key) that hold several components (part)."""
+    keys = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return rows.join(keys.select("key"), "key")
+
+
+def _key_pairs(keys: str) -> F.Column:
+    """A key for every two of a document's bucket keys (at most BANDS of them, in order)."""
+    return F.flatten(F.transform(keys, lambda k, i: F.transform(
+        F.slice(F.col(keys), i + 2, F.size(keys)), lambda other: F.xxhash64(k, other))))
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's members from different components whose set sizes allow the similarity."""
+    u = rows.select("key", F.col("cid").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"))
+    v = rows.select("key", F.col("cid").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
+    return (u.join(v, "key").where("a < b and pa <> pb")
+            .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least id reachable by links), kept."""
@@ -167,23 +191,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     classes = usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands"))
     classes = materialize(classes, "minhash-classes")
     members = classes.select("cid", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    buckets = (members.groupBy("key").agg(F.min("cid").alias("leader"), F.count("*").alias("size"))
-               .where("size > 1").select("key", "leader"))
-    shared = materialize(members.join(buckets, "key"), "minhash-buckets")
-
-    pairs = shared.where("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = materialize(members.join(sizes, "key"), "minhash-buckets")
+
+    # a bucket's leader is its member that meets the most others over all buckets: the text that copies vary
+    weights = shared.groupBy("cid").agg(F.sum("size").alias("weight"))
+    placed = shared.join(weights, "cid")
+    leaders = placed.groupBy("key").agg(F.min_by("cid", F.struct(-F.col("weight"), F.col("cid"))).alias("leader"))
+    pairs = (shared.join(leaders, "key").where("cid <> leader")
+             .select(F.least("leader", "cid").alias("a"), F.greatest("leader", "cid").alias("b")).distinct())
     links = materialize(confirmed(pairs, docs, words, percent), "minhash-links")
     parts = connected_components(links, "a", "b").withColumnRenamed("node", "cid")
+
+    # pairs across the components of a bucket; documents of a large bucket must also meet in another one
     placed = shared.join(parts, "cid", "left").withColumn("part", F.coalesce("component", "cid")).drop("component")
-    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    # members that are linked with their bucket's leader are compared with members of other components only
-    rest = materialize(placed.join(mixed.select("key"), "key"), "minhash-mixed")
-    u = rest.select("key", F.col("cid").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"), "leader")
-    v = rest.select("key", F.col("cid").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
-    across = (u.join(v, "key")
-              .where("a < b and pa <> pb and a <> leader")
-              .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")  # else the sizes alone rule it out
-              .select("a", "b").distinct())
+    rest = materialize(_mixed(placed), "minhash-mixed")
+    large = _mixed(rest.where(F.col("size") > SMALL).groupBy("cid", "n", "part").agg(
+        F.sort_array(F.collect_list("key")).alias("keys")).select("cid", "n", "part", F.explode(_key_pairs("keys")).alias("key")))
+    across = _across(rest.where(F.col("size") <= SMALL), percent).unionByName(_across(large, percent)).distinct()
     more = materialize(confirmed(across, docs, words, percent), "minhash-links")
     if more.limit(1).count():
         parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "cid")
