@@ -23,12 +23,26 @@ SLICE_BYTES = 1 << 20
 WORD_SLICE_BYTES = 4 << 20
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared scratch folder and read it back."""
+#: Rows that cross to Python at once where they carry texts (Spark's default suits numbers).
+TEXT_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared scratch folder and read it back.
+
+    ``batch_rows`` bounds the rows of an Arrow batch while the job runs.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    usual = spark.conf.get(_BATCH)
+    if batch_rows:
+        spark.conf.set(_BATCH, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, usual)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qalake.llm.common import (BYTE_VALUES, U64, connected_components, gathered, materialize, mix64, prefix_sums,
+from qalake.llm.common import (BYTE_VALUES, TEXT_ROWS, U64, connected_components, gathered, materialize, mix64, prefix_sums,
                                span_hashes, utf8_bytes, word_spans)
 
 #: Bands and rows of a band: of pairs at similarity 0.8 one in 20 million shares no band, one in 900,000 less than two.
@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
                     text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least id reachable by links), kept."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sig = materialize(signatures(docs, words), "minhash-signatures")
+    sig = materialize(signatures(docs, words), "minhash-signatures", TEXT_ROWS)
     usable = sig.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands"))
     classes = materialize(classes, "minhash-classes")
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     leaders = placed.groupBy("key").agg(F.min_by("cid", F.struct(-F.col("weight"), F.col("cid"))).alias("leader"))
     pairs = (shared.join(leaders, "key").where("cid <> leader")
              .select(F.least("leader", "cid").alias("a"), F.greatest("leader", "cid").alias("b")).distinct())
-    links = materialize(confirmed(pairs, docs, words, percent), "minhash-links")
+    links = materialize(confirmed(pairs, docs, words, percent), "minhash-links", TEXT_ROWS)
     parts = connected_components(links, "a", "b").withColumnRenamed("node", "cid")
 
     # pairs across the components of a bucket; documents of a large bucket must also meet in another one
@@ -209,7 +209,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     large = _mixed(rest.where(F.col("size") > SMALL).groupBy("cid", "n", "part").agg(
         F.sort_array(F.collect_list("key")).alias("keys")).select("cid", "n", "part", F.explode(_key_pairs("keys")).alias("key")))
     across = _across(rest.where(F.col("size") <= SMALL), percent).unionByName(_across(large, percent)).distinct()
-    more = materialize(confirmed(across, docs, words, percent), "minhash-links")
+    more = materialize(confirmed(across, docs, words, percent), "minhash-links", TEXT_ROWS)
     if more.limit(1).count():
         parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "cid")
 

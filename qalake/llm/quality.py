@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalake.llm.common import U64, gathered, materialize, prefix_sums, span_hashes, utf8_bytes, word_spans, BYTE_VALUES
+from qalake.llm.common import TEXT_ROWS, U64, gathered, materialize, prefix_sums, span_hashes, utf8_bytes, word_spans, BYTE_VALUES
 
 FEATURES = ("bytes", "words", "word_length", "word_length_spread", "punctuation", "symbols", "digits", "upper",
             "space", "non_ascii", "bars", "symbol_runs", "marked_words", "distinct_words", "short_words",
@@ -200,7 +200,7 @@ def score(stats: DataFrame, model: Discriminant) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
             modulus: int = 5, held_out: int = 0, threshold: float = 0.3) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted; learns only from labels that are not held out."""
-    stats = materialize(statistics(docs, doc_id, text), "quality-statistics")
+    stats = materialize(statistics(docs, doc_id, text), "quality-statistics", TEXT_ROWS)
     train = labels.where(id_remainder("doc_id", modulus) != held_out)
     out = score(stats, fit(stats, train, label))
     return out.select("doc_id", (id_remainder("doc_id", modulus) == held_out).alias("held_out"), "score",
@@ -210,7 +210,7 @@ def quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: st
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
               threshold: float = 0.3, **options) -> DataFrame:
     """The documents whose score reaches the threshold, with all their columns; scored in one pass over the texts."""
-    stats = materialize(statistics(docs, doc_id, text), "quality-statistics")
+    stats = materialize(statistics(docs, doc_id, text), "quality-statistics", TEXT_ROWS)
     modulus, held_out = options.get("modulus", 5), options.get("held_out", 0)
     model = fit(stats, labels.where(id_remainder("doc_id", modulus) != held_out), options.get("label", "quality"))
 

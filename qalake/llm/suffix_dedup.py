@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from qalake.llm.common import (BYTE_VALUES, U64, gathered, materialize, mix64, prefix_sums, shuffle_partitions,
+from qalake.llm.common import (BYTE_VALUES, TEXT_ROWS, U64, gathered, materialize, mix64, prefix_sums, shuffle_partitions,
                                span_hashes, utf8_bytes)
 
 #: Bytes of a string that counts, and of an anchor.
@@ -351,7 +351,7 @@ def removed_spans(rows: DataFrame) -> DataFrame:
         (F.shiftright("place", 14) + F.col("place").bitwiseAND(127) + LENGTH).alias("end"))
     opened = settled.where("open").drop("open")
     n = opened.count()
-    fetched = materialize(_fetch(opened, rows, max(64, n // (4 * parts))), "suffix-texts")
+    fetched = materialize(_fetch(opened, rows, max(64, n // (4 * parts))), "suffix-texts", TEXT_ROWS)
     sorted_spans = _sort_buckets(fetched.where("kind = 1").repartition(parts, "a").sortWithinPartitions("a"))
     order = Window.partitionBy("a", "b").orderBy("doc", "fp", "place")
     windows = (fetched.where("kind = 2").withColumn("_n", F.row_number().over(order)).where("_n > 1")

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qalake.llm.common import WORD_SLICE_BYTES, WordStore, gathered, materialize, sums_by_row, utf8_bytes
+from qalake.llm.common import TEXT_ROWS, WORD_SLICE_BYTES, WordStore, gathered, materialize, sums_by_row, utf8_bytes
 from qalake.session import scratch_path
 
 #: Words that one task keeps with their ids (a bound on its memory; the results do not depend on it).
@@ -209,7 +209,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
                       doc_id: str = "doc_id", text: str = "text") -> None:
     """Tokenise, rank and write documents in ascending id order below ``path`` (``ids`` and ``ranks``)."""
     spark = docs.sparkSession
-    tokens = materialize(tokenise(docs, tokenizer_path, end_id, doc_id, text), "token-ids")
+    tokens = materialize(tokenise(docs, tokenizer_path, end_id, doc_id, text), "token-ids", TEXT_ROWS)
     id_of = rank_ids(tokens)
     rank_of = np.zeros(int(id_of.max()) + 1 if len(id_of) else 1, np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
