@@ -12,8 +12,8 @@ agree in a band are candidates.
 Documents with equal sets are one class. Within a band's bucket each class is
 compared with the bucket's leader, the class that meets the most others. Where a
 bucket then still holds several components, every pair across its components is
-compared; in buckets above ``SMALL`` members, which a common passage fills with
-unlike texts, only pairs that meet in a second bucket. All links are confirmed on
+compared: by set sizes and one bit of every slot first, which leaves few of the
+unlike texts that a common passage brings together. All links are confirmed on
 the full sets of the whole texts. Components are found by joins.
 
 Edge cases. Null texts and texts without words have an empty set and link with
@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from qalake.llm.common import (BYTE_VALUES, TEXT_ROWS, U64, connected_components, gathered, materialize, mix64, prefix_sums,
                                span_hashes, utf8_bytes, word_spans)
 
-#: Bands and rows of a band: of pairs at similarity 0.8 one in 20 million shares no band, one in 900,000 less than two.
+#: Bands and rows of a band: of pairs at similarity 0.8 one in 20 million shares no band.
 BANDS, ROWS = 32, 4
-#: Members up to which a bucket's pairs are compared as they are.
-SMALL = 16
+#: Longs that hold one bit of every slot.
+BITS_LONGS = BANDS * ROWS // 64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -119,7 +119,7 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text",
                bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Rows (doc_id, n_shingles, s1, s2, bands): set size, 128 bits that name the set, band keys."""
+    """Rows (doc_id, n_shingles, s1, s2, bits, bands): set size, 128 bits that name the set, a bit per slot, band keys."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,14 +130,18 @@ def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str =
             for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F):  # sums of two mixed copies of the elements
                 total = np.concatenate((np.zeros(1, U64), np.cumsum(mix64(h ^ U64(seed)))))
                 names.append((total[off[1:]] - total[off[:-1]]).view(np.int64))
-            keys = band_keys(super_min_hash(h, off, bands * rows), bands)
+            slots = super_min_hash(h, off, bands * rows)
+            keys = band_keys(slots, bands)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)),
                                              pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), *map(pa.array, names), lists],
-                                             ["doc_id", "n_shingles", "s1", "s2", "bands"])
+            bits = np.packbits((slots >> 7 & 1).astype(np.uint8), axis=1).view(np.int64)
+            packed = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32)),
+                                              pa.array(bits.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), *map(pa.array, names), packed, lists],
+                                             ["doc_id", "n_shingles", "s1", "s2", "bits", "bands"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, bands array<long>")
+        run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, bits array<long>, bands array<long>")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -168,18 +172,20 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(keys.select("key"), "key")
 
 
-def _key_pairs(keys: str) -> F.Column:
-    """A key for every two of a document's bucket keys (at most BANDS of them, in order)."""
-    return F.flatten(F.transform(keys, lambda k, i: F.transform(
-        F.slice(F.col(keys), i + 2, F.size(keys)), lambda other: F.xxhash64(k, other))))
-
-
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's members from different components whose set sizes allow the similarity."""
-    u = rows.select("key", F.col("cid").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"))
-    v = rows.select("key", F.col("cid").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
-    return (u.join(v, "key").where("a < b and pa <> pb")
-            .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
+    """Pairs (a, b) of a bucket's members from different components that may be similar enough.
+
+    The set sizes must allow it, and the slots' bits must not differ in more places than a pair at the
+    similarity does but once in 10**9 cases (a slot's bits differ in half of the cases where the slots do).
+    """
+    names = [f"bits{i}" for i in range(BITS_LONGS)]
+    u, v = (rows.select("key", F.col("cid").alias(side), F.col("part").alias(f"part_{side}"), F.col("n").alias(f"n_{side}"),
+                        *(F.col(x).alias(f"{x}_{side}") for x in names)) for side in "ab")
+    slots, p = BANDS * ROWS, (1 - percent / 100) / 2
+    most = int(slots * p + 6.3 * (slots * p * (1 - p)) ** 0.5)
+    differ = " + ".join(f"bit_count({x}_a ^ {x}_b)" for x in names)
+    return (u.join(v, "key").where("a < b and part_a <> part_b")
+            .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and {differ} <= {most}").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -188,9 +194,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sig = materialize(signatures(docs, words), "minhash-signatures", TEXT_ROWS)
     usable = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands"))
+    classes = usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
     classes = materialize(classes, "minhash-classes")
     members = classes.select("cid", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    bits = classes.select("cid", *(F.col("bits")[i].alias(f"bits{i}") for i in range(BITS_LONGS)))
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialize(members.join(sizes, "key"), "minhash-buckets")
 
@@ -203,12 +210,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     links = materialize(confirmed(pairs, docs, words, percent), "minhash-links", TEXT_ROWS)
     parts = connected_components(links, "a", "b").withColumnRenamed("node", "cid")
 
-    # pairs across the components of a bucket; documents of a large bucket must also meet in another one
+    # pairs across the components of a bucket
     placed = shared.join(parts, "cid", "left").withColumn("part", F.coalesce("component", "cid")).drop("component")
-    rest = materialize(_mixed(placed), "minhash-mixed")
-    large = _mixed(rest.where(F.col("size") > SMALL).groupBy("cid", "n", "part").agg(
-        F.sort_array(F.collect_list("key")).alias("keys")).select("cid", "n", "part", F.explode(_key_pairs("keys")).alias("key")))
-    across = _across(rest.where(F.col("size") <= SMALL), percent).unionByName(_across(large, percent)).distinct()
+    rest = materialize(_mixed(placed).join(bits, "cid"), "minhash-mixed")
+    across = _across(rest, percent).distinct()
     more = materialize(confirmed(across, docs, words, percent), "minhash-links", TEXT_ROWS)
     if more.limit(1).count():
         parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "cid")
