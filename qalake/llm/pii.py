@@ -1,7 +1,7 @@
 """Personal data: base patterns, and further spans that boosted trees select among candidates.
 
-High-recall generators propose overlapping candidate spans: numbers in groups,
-dotted or colon-separated addresses, written-out mail addresses. Each candidate
+High-recall generators propose overlapping candidate spans: numbers in groups (a
+run of numbers side by side, and its parts between group borders), dotted or colon-separated addresses, written-out mail addresses. Each candidate
 has features of its format (digits, groups, separators, checks) and of its
 context (what stands beside it, words before it). Boosted trees score them.
 
@@ -10,7 +10,7 @@ candidates that match one are positive, and so are copies of them in other
 spellings (a phone number without its plus, an address with its dots written
 out); candidates that match none are negative. Each kind's threshold is the
 least score at which ``PRECISION`` of the held-out candidates above it are
-positive. A selected candidate is added where it touches no base span and no
+positive. Numbers beside a base match teach the borders inside a run. A selected candidate is added where it touches no base span and no
 better candidate. Base spans always stay.
 
 Training looks at ``TRAIN_DOCS`` documents at most (those with the smallest
@@ -40,6 +40,8 @@ from qalake.llm.common import slices
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the trees learn from at most, and the precision that a threshold must reach.
 TRAIN_DOCS, PRECISION = 20_000, 0.99
+#: Candidates of a text whose features are held at once.
+SCORED = 4096
 Span = tuple[str, int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -89,7 +91,9 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-_NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[ ().\-/]{0,2}[0-9]){6,}+(?![0-9A-Za-z])")
+_NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[ ().\-/]{0,2}[0-9]){6,}+")
+_GROUP = re.compile("[0-9]++")
+_GOES_ON, _CAME = re.compile(r"[ ().\-/]{0,2}[0-9]"), re.compile(r"[0-9][ ().\-/]{0,2}\Z")
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}+(?![0-9.])")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){5,7}+(?![0-9A-Za-z:])")
 _DOT = re.compile(r" ?[(\[{<] ?(?:dot|DOT) ?[)\]}>] ?| (?:dot|DOT) ")
@@ -97,16 +101,35 @@ _MAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}+(?: ?[(\[{<] ?(?:at|AT) ?[)\]}>] ?|
                    r"[A-Za-z0-9-]{1,63}+(?:(?: ?[(\[{<] ?(?:dot|DOT) ?[)\]}>] ?| (?:dot|DOT) |\.)[A-Za-z0-9-]{2,63}+){1,4}")
 
 
+def _numbers(text: str, first: int, last: int) -> Iterator[Span]:
+    """The spans between group borders of a run of numbers that a phone or card number could fill, longest first by start.
+
+    Numbers side by side form one run. A group has a digit at least, so a start has at most 19 ends.
+    """
+    groups = [m.span() for m in _GROUP.finditer(text, first, last)]
+    if text[last:last + 1].isascii() and text[last:last + 1].isalpha():  # the last group is part of a word
+        groups.pop()
+    for i, (a, _) in enumerate(groups):
+        n, ends = 0, []
+        for _, b in groups[i:i + 19]:
+            n += b - groups[i + len(ends)][0]
+            if n > 19:
+                break
+            ends.append((n, b))
+        a -= a > first and text[a - 1] in "+("
+        for n, b in reversed(ends):
+            if 7 <= n <= 15:
+                yield "phone", a, b
+            if 12 <= n:
+                yield "card", a, b
+
+
 def candidates(text: str) -> list[Span]:
     """High-recall, overlapping candidate spans."""
     out: list[Span] = []
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
-            n = len(_NOT_DIGIT.sub("", m.group()))
-            if n <= 15:
-                out.append(("phone", *m.span()))
-            if 12 <= n <= 19:
-                out.append(("card", *m.span()))
+            out += _numbers(text, *m.span())
         out += [("ip", *m.span()) for m in _DOTTED.finditer(text)]
         if ":" in text:
             out += [("ip", *m.span()) for m in _COLONS.finditer(text)]
@@ -135,26 +158,32 @@ _TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io co ai app dev
 _AGAINST = ("version", "isbn", "issn", "page", "vol", "section", "license", "licence", "order", "serial")
 
 
+_DOT_WORD, _AT_WORD, _BRACKET = re.compile(r"\b(?:dot|DOT)\b"), re.compile(r"\b(?:at|AT)\b"), re.compile(r"[()\[\]{}<>]")
+
+
 def features(text: str, span: Span) -> list[float]:
     """Format and context features of a candidate."""
     kind, a, b = span
     s = text[a:b]
     digits = _NOT_DIGIT.sub("", s)
-    groups = [len(g) for g in _NOT_DIGIT.split(s) if g] or [0]
+    numbers = _GROUP.findall(s)
+    groups = [len(g) for g in numbers] or [0]
     before, after = text[max(0, a - 24):a].lower(), text[b:b + 1]
-    parts = [int(g) if len(g) < 6 else 999 for g in _NOT_DIGIT.split(s) if g]
+    low = sum(len(g) < 6 and int(g) <= 255 for g in numbers)
+    mail = kind == "email"
     return [
         float(KINDS.index(kind)), float(b - a), float(len(digits)), float(len(groups)),
         float(max(groups)), float(min(groups)), float(groups[-1]),
         float(s.count("-")), float(s.count(".")), float(s.count(" ")), float(s.count("(")), float(s.count("/")),
         float(s[:1] == "+"), float(13 <= len(digits) <= 19 and luhn(digits)),
-        float(sum(p <= 255 for p in parts) / len(parts)) if parts else 0.0,
-        float("@" in s), float(len(re.findall(r"\b(?:dot|DOT)\b", s))), float(len(re.findall(r"\b(?:at|AT)\b", s))),
-        float(sum(c in "()[]{}<>" for c in s)),
+        low / len(numbers) if numbers else 0.0,
+        float("@" in s), float(mail and len(_DOT_WORD.findall(s))), float(mail and len(_AT_WORD.findall(s))),
+        float(len(_BRACKET.findall(s))),
         float(any(w in before for w in _FOR[kind])), float(any(w in before for w in _AGAINST)),
         float(text[a - 1:a].isspace() or a == 0), float(after == "" or after.isspace() or after in ".,;"),
         float(s.count(":")), float(digits[:1] == "0"),
-        float(kind == "email" and re.split(r"[^A-Za-z0-9]+", s.rstrip(")]}> "))[-1].lower() in _TOP_DOMAINS),
+        float(mail and re.split(r"[^A-Za-z0-9]+", s.rstrip(")]}> "))[-1].lower() in _TOP_DOMAINS),
+        float(_CAME.search(text[max(0, a - 3):a]) is not None), float(_GOES_ON.match(text, b) is not None),
     ]
 
 
@@ -181,19 +210,49 @@ def _respelled(text: str, span: Span, h: int) -> tuple[str, Span] | None:
     return text[max(0, a - 200):a] + new + text[b:b + 50], (kind, min(a, 200), min(a, 200) + len(new))
 
 
+def _hidden(text: str, span: Span) -> bool:
+    """Whether a part of a run of numbers would be a base match if it stood alone."""
+    kind, a, b = span
+    return (kind in ("card", "phone") and bool(_CAME.search(text[max(0, a - 3):a]) or _GOES_ON.match(text, b))
+            and (kind, 0, b - a) in base_spans(text[a:b]))
+
+
+def _side_by_side(text: str, span: Span, h: int) -> Iterator[tuple[list[float], int, int]]:
+    """Examples of a base match with a second number beside it: the two are positive, other borders are negative."""
+    kind, a, b = span
+    s = text[a:b]
+    other = ".".join(str(x) for x in hashlib.md5(s.encode()).digest()[:4]) if h & 64 else s.lstrip("+")
+    gap = (" ", " ", "/", "  ")[h >> 2 & 3]
+    start = min(a, 200)
+    new = text[a - start:a] + s + gap + other + text[b:b + 50]
+    right = [(kind, start, start + len(s))]
+    if not h & 64:
+        right.append((kind, start + len(s) + len(gap), start + len(s) + len(gap) + len(other)))
+    for c in candidates(new):
+        if c in right or (c[0] in ("card", "phone") and start <= c[1] and c[2] <= start + len(s + gap + other)):
+            yield features(new, c), int(c in right), int((h >> 8) % 4 == 0)
+
+
 def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
     """(features, label, half) of a document's candidates; half 1 sets the thresholds."""
     base = base_spans(doc)
     found, by_kind = set(base), {k: _Taken([c for c in base if c[0] == k]) for k in KINDS}
     for c in candidates(doc):
         half = int(hashlib.md5(doc[c[1]:c[2]].encode("utf-8", "replace")).hexdigest()[:2], 16) % 4 == 0
-        if c in found or not by_kind[c[0]].touches(c[1], c[2]):  # a candidate that only overlaps a base span says nothing
+        # a candidate that only overlaps a base span says nothing, nor does one that its neighbours hide from the patterns
+        if c in found or not (by_kind[c[0]].touches(c[1], c[2]) or _hidden(doc, c)):
             yield features(doc, c), int(c in found), int(half)
     for c in base:
         h = int(hashlib.md5(doc[c[1]:c[2]].encode("utf-8", "replace")).hexdigest()[:4], 16)
         text, span = _respelled(doc, c, h)
-        if span in candidates(text):
+        near = candidates(text)
+        if span in near:
             yield features(text, span), 1, int((h >> 8) % 4 == 0)
+        if c[0] in ("card", "phone"):  # parts of a number are none
+            for d in near:
+                if d != span and span[1] <= d[1] and d[2] <= span[2]:
+                    yield features(text, d), 0, int((h >> 8) % 4 == 0)
+            yield from _side_by_side(doc, c, h)
         if c[0] == "email":  # ordinary words around "at" and "dot" are no address
             w = re.findall("[A-Za-z]{2,}", doc[max(0, c[1] - 80):c[1]])[-3:]
             if len(w) == 3 and w[2].lower() not in _TOP_DOMAINS:
@@ -236,7 +295,8 @@ class SpanModel:
         own = [c for c in candidates(text) if self.limits[c[0]] <= 1.0 and not taken.touches(c[1], c[2])]
         if not own:
             return []
-        p = self.trees.predict(np.array([features(text, c) for c in own]))
+        p = np.concatenate([self.trees.predict(np.array([features(text, c) for c in own[i:i + SCORED]]))
+                            for i in range(0, len(own), SCORED)])
         out: list[Span] = []
         for i in np.argsort(-p, kind="stable").tolist():
             c = own[i]

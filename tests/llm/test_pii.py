@@ -6,7 +6,7 @@ import re
 import time
 
 from qalake.llm.boosting import BoostedTrees
-from qalake.llm.pii import KINDS, base_spans, find, fit, luhn, redact, redact_text
+from qalake.llm.pii import KINDS, base_spans, candidates, find, fit, luhn, redact, redact_text
 
 from .data import documents, odd_documents, table
 
@@ -90,3 +90,22 @@ def test_boosted_trees_learn_a_rule():
     y = ((x[:, 0] > 0.3) ^ (x[:, 3] < -0.2)).astype(float)
     m = BoostedTrees().fit(x[:1500], y[:1500])
     assert ((m.predict(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
+
+
+def test_numbers_side_by_side(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    model = fit(docs)
+    texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id in (46, 1262, 1377, 7052)").collect()}
+    for doc, kind, before, number in ((46, "card", "", "7536784127813050"), (46, "card", "7536784127813050 ", "4845168114407329"),
+                                      (1262, "card", "2353820953013749 ", "4550997810720808"),
+                                      (1377, "phone", "", "+1 (826) 555-4081"), (7052, "phone", "", "+1 (843) 555-7672")):
+        at = texts[doc].index(before + number) + len(before)
+        span = (kind, at, at + len(number))
+        assert span not in base_spans(texts[doc])
+        assert span in candidates(texts[doc]) and span in model.spans(texts[doc])[1], number
+    began = time.time()
+    model.spans("1 " * 20_000)
+    assert time.time() - began < 20
+    # every start has a bounded number of ends, and a letter behind the run costs its last group only
+    assert len(candidates("1 " * 2_000)) < 40 * 2_000
+    assert ("card", 0, 16) in candidates("4532015112830366 12ab")
