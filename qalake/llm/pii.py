@@ -96,7 +96,7 @@ _GROUP = re.compile("[0-9]++")
 _GOES_ON, _CAME = re.compile(r"[ ().\-/]{0,2}[0-9]"), re.compile(r"[0-9][ ().\-/]{0,2}\Z")
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}+(?![0-9.])")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){5,7}+(?![0-9A-Za-z:])")
-_DOT = re.compile(r" ?[(\[{<] ?(?:dot|DOT) ?[)\]}>] ?| (?:dot|DOT) ")
+_AT = re.compile(r"@|[(\[{<] ?(?:at|AT) ?[)\]}>]|(?<= )(?:at|AT)(?= )")
 _MAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}+(?: ?[(\[{<] ?(?:at|AT) ?[)\]}>] ?| (?:at|AT) |@)"
                    r"[A-Za-z0-9-]{1,63}+(?:(?: ?[(\[{<] ?(?:dot|DOT) ?[)\]}>] ?| (?:dot|DOT) |\.)[A-Za-z0-9-]{2,63}+){1,4}")
 
@@ -133,20 +133,16 @@ def candidates(text: str) -> list[Span]:
         out += [("ip", *m.span()) for m in _DOTTED.finditer(text)]
         if ":" in text:
             out += [("ip", *m.span()) for m in _COLONS.finditer(text)]
-    if "dot" in text or "DOT" in text:
-        done = 0
-        for d in _DOT.finditer(text):
-            if d.start() < done:
-                continue
-            for m in _MAIL.finditer(text, max(done, d.start() - 140), d.end() + 260):
-                out.append(("email", *m.span()))
-                done = m.end()
-    elif "@" in text or "(at)" in text or "[at]" in text:
-        for a in re.finditer(r"@|\(at\)|\[at\]", text):
-            lo = max(0, a.start() - 66)
-            m = next((m for m in _MAIL.finditer(text, lo, a.end() + 130) if m.start() < a.end() <= m.end()), None)
-            if m:
-                out.append(("email", *m.span()))
+    done = -1
+    for m in _AT.finditer(text):
+        # every address has an "at"; its local part is the run of at most 64 characters before it
+        end = start = m.start() - (m.start() > 0 and m.group() != "@" and text[m.start() - 1] == " ")
+        while start > 0 and end - start < 64 and text[start - 1] in _LOCAL:
+            start -= 1
+        found = _MAIL.match(text, start) if start < end else None
+        if found and start != done:
+            out.append(("email", *found.span()))
+            done = start
     return out
 
 
@@ -158,6 +154,7 @@ _TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io co ai app dev
 _AGAINST = ("version", "isbn", "issn", "page", "vol", "section", "license", "licence", "order", "serial")
 
 
+_PLAIN = re.compile("[A-Za-z]++(?![0-9._%+-])")  # a local part that could be a word
 _DOT_WORD, _AT_WORD, _BRACKET = re.compile(r"\b(?:dot|DOT)\b"), re.compile(r"\b(?:at|AT)\b"), re.compile(r"[()\[\]{}<>]")
 
 
@@ -183,21 +180,34 @@ def features(text: str, span: Span) -> list[float]:
         float(text[a - 1:a].isspace() or a == 0), float(after == "" or after.isspace() or after in ".,;"),
         float(s.count(":")), float(digits[:1] == "0"),
         float(mail and re.split(r"[^A-Za-z0-9]+", s.rstrip(")]}> "))[-1].lower() in _TOP_DOMAINS),
+        float(mail and _PLAIN.match(s) is None),
         float(_CAME.search(text[max(0, a - 3):a]) is not None), float(_GOES_ON.match(text, b) is not None),
     ]
 
 
-def _respelled(text: str, span: Span, h: int) -> tuple[str, Span] | None:
+#: Spellings of "@" and "." that the trees learn; a plain dot stays where only "at" is written out.
+_SPELT = ((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " [dot] "),
+          (" (at) ", "."), ("[at]", "."), (" [AT] ", "."), ("(AT)", "."), ("{at}", "."), (" <at> ", "."), ("( at )", "."),
+          (" at ", "."), (" AT ", "."), (" [AT] ", " [DOT] "), ("{at}", "{dot}"), (" AT ", " DOT "))
+
+
+def _plainer(mail: str, h: int) -> tuple[str, str]:
+    """Local part and host of an address, some without what not every address has."""
+    user, _, host = mail.partition("@")
+    if h & 16:  # not every address has digits
+        user, host = re.sub("[0-9]", "", user).strip(".") or "me", re.sub("[0-9]", "", host)
+    if h & 32:  # nor a third label
+        host = ".".join(host.split(".")[-2:])
+    return user, host
+
+
+def _respelled(text: str, span: Span, h: int, spelt: int = 0) -> tuple[str, Span] | None:
     """A base match in another spelling, in its context."""
     kind, a, b = span
     s = text[a:b]
     if kind == "email":
-        user, _, host = s.partition("@")
-        if h & 16:  # not every address has digits
-            user, host = re.sub("[0-9]", "", user).strip(".") or "me", re.sub("[0-9]", "", host)
-        if h & 32:  # nor a third label
-            host = ".".join(host.split(".")[-2:])
-        at, dot = [(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " [dot] ")][h % 4]
+        user, host = _plainer(s, h)
+        at, dot = _SPELT[(h + spelt) % len(_SPELT)]
         new = user + at + host.replace(".", dot)
     elif kind == "phone":
         new = [s.lstrip("+"), s.lstrip("+").split(" ", 1)[-1], s.replace(" ", ".").replace("(", "").replace(")", "").lstrip("+"),
@@ -248,6 +258,10 @@ def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
         near = candidates(text)
         if span in near:
             yield features(text, span), 1, int((h >> 8) % 4 == 0)
+        for spelt in range(4, 16, 4) if c[0] == "email" else ():  # one of each four spellings
+            text, span = _respelled(doc, c, h, spelt)
+            if span in candidates(text):
+                yield features(text, span), 1, int((h >> 8) % 4 == 0)
         if c[0] in ("card", "phone"):  # parts of a number are none
             for d in near:
                 if d != span and span[1] <= d[1] and d[2] <= span[2]:
@@ -258,6 +272,11 @@ def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
             if len(w) == 3 and w[2].lower() not in _TOP_DOMAINS:
                 text = f"{w[0]} at {w[1]} dot {w[2]} " if h & 32 else f"{w[0]} at {w[1]} dot {w[0]} dot {w[2]} "
                 yield features(text, ("email", 0, len(text) - 1)), 0, int((h >> 8) % 4 == 0)
+                text = f"{w[0]} at {w[1]}.{w[2]} "
+                yield features(text, ("email", 0, len(text) - 1)), 0, int((h >> 8) % 4 == 0)
+            for k in (0, 16, 32, 48) if w else ():  # a host that something happens at
+                text = f"{w[-1]} at {_plainer(doc[c[1]:c[2]], k)[1]} "
+                yield features(text, ("email", 0, len(text) - 1)), 0, int((h >> 8) % 4 == 0)
 
 
 class _Taken:

@@ -109,3 +109,25 @@ def test_numbers_side_by_side(spark):
     # every start has a bounded number of ends, and a letter behind the run costs its last group only
     assert len(candidates("1 " * 2_000)) < 40 * 2_000
     assert ("card", 0, 16) in candidates("4532015112830366 12ab")
+
+
+def test_every_spelling_of_at_is_a_candidate():
+    found = lambda t: [t[a:b] for k, a, b in candidates(t) if k == "email"]
+    for at in (" at ", " AT ", "(at)", " (at) ", "(AT)", "[at]", "[AT]", " [AT] ", "{at}", " <at> ", "( at )", " [ AT ] ", "@"):
+        for dot in (".", " dot ", "[dot]", " (DOT) "):
+            for more in ("", " an anecdote", " dotted DOT", " x@y.zz"):
+                mail = f"ann{at}site{dot}org"
+                assert mail in found(f"write {mail} now{more}"), (at, dot, more)
+    assert found("ann (at) site.org, bob at place dot net, eve@home.org") == [
+        "ann (at) site.org", "bob at place dot net", "eve@home.org"]
+    long = "a" * 64 + "@" + ".".join(["b" * 60] * 5)
+    assert found(long) == [long]
+
+
+def test_written_out_at_beside_the_letters_dot(spark):
+    model = fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    for t in ("write ann.b (at) site.org now", "write ann.b (at) site.org now, an anecdote", "mail ann [AT] site.org now"):
+        at = t.index("ann")
+        assert ("email", at, t.index("org") + 3) in model.spans(t)[1], t
+    for clean in ("see you at home.The cat", "look at example.com today", "it is at rest. And so on"):
+        assert model.spans(clean)[1] == []
