@@ -8,7 +8,7 @@ context (what stands beside it, words before it). Boosted trees score them.
 The tables hold no marked spans, so the trees learn from the base patterns:
 candidates that match one are positive, and so are copies of them in other
 spellings (a phone number without its plus, an address with its dots written
-out); candidates that match none are negative. Each kind's threshold is the
+out or in eight groups with colons); candidates that match none are negative. Each kind's threshold is the
 least score at which ``PRECISION`` of the held-out candidates above it are
 positive. Numbers beside a base match teach the borders inside a run. A selected candidate is added where it touches no base span and no
 better candidate. Base spans always stay.
@@ -178,7 +178,7 @@ def features(text: str, span: Span) -> list[float]:
         float(len(_BRACKET.findall(s))),
         float(any(w in before for w in _FOR[kind])), float(any(w in before for w in _AGAINST)),
         float(text[a - 1:a].isspace() or a == 0), float(after == "" or after.isspace() or after in ".,;"),
-        float(s.count(":")), float(digits[:1] == "0"),
+        float(s.count(":")), float(max(map(len, s.split(":")))) if ":" in s else 0.0, float(digits[:1] == "0"),
         float(mail and re.split(r"[^A-Za-z0-9]+", s.rstrip(")]}> "))[-1].lower() in _TOP_DOMAINS),
         float(mail and _PLAIN.match(s) is None),
         float(_CAME.search(text[max(0, a - 3):a]) is not None), float(_GOES_ON.match(text, b) is not None),
@@ -243,6 +243,24 @@ def _side_by_side(text: str, span: Span, h: int) -> Iterator[tuple[list[float],
             yield features(new, c), int(c in right), int((h >> 8) % 4 == 0)
 
 
+def _colon_forms(text: str, span: Span, h: int) -> Iterator[tuple[list[float], int, int]]:
+    """Examples in the place of a dotted address: eight hexadecimal groups are an address; a hardware address and a date with its time are none."""
+    _, a, b = span
+    d = hashlib.md5(text[a:b].encode()).digest()
+    groups = [f"{d[i] << 8 | d[i + 1]:x}" for i in range(0, 16, 2)]
+    for i in range(2, 2 + h % 5):  # addresses have zeros
+        groups[i] = "0000" if h & 128 else "0"
+    clock = f"{d[0] % 24:02}:{d[1] % 60:02}:{d[2] % 60:02}"
+    numbers = ":".join(f"{x % 60:02}" for x in d[:8])
+    for new, label in ((":".join(groups), 1), (":".join(f"{x:02x}" for x in d[:6]), 0), (":".join(f"{x:02x}" for x in d[:8]), 0),
+                       (f"{1990 + d[3] % 40}:{1 + d[4] % 12:02}:{1 + d[5] % 28:02}:{clock}", 0), (numbers, 0)):
+        start = min(a, 200)
+        near = text[a - start:a] + new + text[b:b + 50]
+        c = ("ip", start, start + len(new))
+        if c in candidates(near):
+            yield features(near, c), label, int((h >> 8) % 4 == 0)
+
+
 def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
     """(features, label, half) of a document's candidates; half 1 sets the thresholds."""
     base = base_spans(doc)
@@ -267,6 +285,8 @@ def training_examples(doc: str) -> Iterator[tuple[list[float], int, int]]:
                 if d != span and span[1] <= d[1] and d[2] <= span[2]:
                     yield features(text, d), 0, int((h >> 8) % 4 == 0)
             yield from _side_by_side(doc, c, h)
+        if c[0] == "ip":
+            yield from _colon_forms(doc, c, h)
         if c[0] == "email":  # ordinary words around "at" and "dot" are no address
             w = re.findall("[A-Za-z]{2,}", doc[max(0, c[1] - 80):c[1]])[-3:]
             if len(w) == 3 and w[2].lower() not in _TOP_DOMAINS:

@@ -131,3 +131,12 @@ def test_written_out_at_beside_the_letters_dot(spark):
         assert ("email", at, t.index("org") + 3) in model.spans(t)[1], t
     for clean in ("see you at home.The cat", "look at example.com today", "it is at rest. And so on"):
         assert model.spans(clean)[1] == []
+
+
+def test_addresses_with_colons(spark):
+    model = fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    added = lambda t: [(k, t[a:b]) for k, a, b in model.added(t, base_spans(t))]
+    for ip in ("2001:db8:85a3:0:0:8a2e:370:7334", "fe80:0000:0000:0000:02ab:c3ff:fe4d:1234", "2A02:8071:31A9:7C00:1D3F:9E2:77B0:1"):
+        assert added(f"from {ip} at night") == [("ip", ip)]
+    for clean in ("mac 00:1a:2b:3c:4d:5e up", "taken 2024:01:02:12:30:45 at home", "laps 12:30:45:12:31:02:59:10 run", "it was 12:30:45"):
+        assert added(clean) == []
