@@ -13,8 +13,9 @@ least score at which ``PRECISION`` of the held-out candidates above it are
 positive. Numbers beside a base match teach the borders inside a run. A selected candidate is added where it touches no base span and no
 better candidate. Base spans always stay.
 
-Training looks at ``TRAIN_DOCS`` documents at most (those with the smallest
-hashes of their ids); finding looks at every whole text.
+The trees learn from about ``TRAIN_DOCS`` documents (those with the smallest hashes
+of id and text); the thresholds count the held-out candidates of all documents, and
+finding looks at every whole text.
 
 Edge cases. Null and empty texts have no spans. Offsets are code points. Every
 scan is linear in the text. Without positive candidates of a kind none is added.
@@ -28,6 +29,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ from qalake.llm.common import slices
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the trees learn from at most, and the precision that a threshold must reach.
 TRAIN_DOCS, PRECISION = 20_000, 0.99
+#: Bins of a unit of log odds in which held-out examples are counted.
+ODDS_BINS = 100
 #: Candidates of a text whose features are held at once.
 SCORED = 4096
 Span = tuple[str, int, int]
@@ -350,34 +354,60 @@ class SpanModel:
         return base, sorted(base + self.added(text, base), key=lambda c: (KINDS.index(c[0]), c[1]))
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> SpanModel:
-    """Learn from the candidates of TRAIN_DOCS documents at most, found on Spark."""
+def _sample(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """About TRAIN_DOCS documents, by hashes of ids and texts (null ids share the former)."""
     n = docs.count()
-    h = F.pmod(F.xxhash64(F.lit(7), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(1 << 30))
-    sample = docs.where(h < int((1 << 30) * min(1.0, TRAIN_DOCS / max(n, 1)))).select(F.col(text).alias("text"))
+    h = F.pmod(F.xxhash64(F.lit(7), F.coalesce(F.col(doc_id).cast("string"), F.lit("")),
+                          F.coalesce(F.col(text), F.lit(""))), F.lit(1 << 30))
+    return docs.where(h < int((1 << 30) * min(1.0, TRAIN_DOCS / max(n, 1)))).select(F.col(text).alias("text"))
+
+
+def _held_out(docs: DataFrame, text: str, trees: BoostedTrees) -> DataFrame:
+    """Per kind and bin of log odds: the held-out examples of all documents and how many are positive."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            counts: dict[tuple[int, int], list[int]] = {}
+            rest = (x for t in b.column(0).to_pylist() for x in training_examples(t or "") if x[2])
+            while rows := list(islice(rest, SCORED)):
+                x = np.array([r[0] for r in rows])
+                p = np.clip(trees.predict(x), 1e-9, 1 - 1e-9)
+                bins = np.floor(np.log(p / (1 - p)) * ODDS_BINS).astype(int)
+                for k, at, r in zip(x[:, 0].astype(int).tolist(), bins.tolist(), rows):
+                    c = counts.setdefault((k, at), [0, 0])
+                    c[0] += 1
+                    c[1] += r[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in counts], pa.int32()), pa.array([k[1] for k in counts], pa.int32()),
+                 pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())],
+                ["kind", "bin", "n", "good"])
+
+    got = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind int, bin int, n long, good long")
+    return got.groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+
+
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> SpanModel:
+    """Trees from the candidates of about TRAIN_DOCS documents, thresholds from those of all, found on Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            rows = [x for t in b.column(0).to_pylist() for x in training_examples(t or "")]
+            rows = [x for t in b.column(0).to_pylist() for x in training_examples(t or "") if not x[2]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in rows], pa.list_(pa.float64())), pa.array([x[1] for x in rows], pa.int32()),
-                 pa.array([x[2] for x in rows], pa.int32())], ["x", "y", "half"])
+                [pa.array([x[0] for x in rows], pa.list_(pa.float64())), pa.array([x[1] for x in rows], pa.int32())], ["x", "y"])
 
-    got = sample.mapInArrow(run, "x array<double>, y int, half int").toPandas()
+    got = _sample(docs, doc_id, text).mapInArrow(run, "x array<double>, y int").toPandas()
+    limits = dict.fromkeys(KINDS, 2.0)
     if not len(got) or got["y"].nunique() < 2:
-        return SpanModel(BoostedTrees(), dict.fromkeys(KINDS, 2.0))
-    x, y, half = np.array(got["x"].tolist()), got["y"].to_numpy(), got["half"].to_numpy() == 1
+        return SpanModel(BoostedTrees(), limits)
+    x, y = np.array(got["x"].tolist()), got["y"].to_numpy()
     order = np.lexsort((*x.T, y))  # the rows' order must not matter
-    x, y, half = x[order], y[order], half[order]
-    trees = BoostedTrees().fit(x[~half], y[~half].astype(float))
-    p, limits = trees.predict(x), {}
+    trees = BoostedTrees().fit(x[order], y[order].astype(float))
+    held = _held_out(docs, text, trees).toPandas()  # some thousand bins a kind at most
     for k, kind in enumerate(KINDS):
-        own = np.flatnonzero(half & (x[:, 0] == k))
-        own = own[np.argsort(-p[own], kind="stable")]
-        good = np.cumsum(y[own]) / np.arange(1, len(own) + 1) >= PRECISION
-        last = np.append(p[own][1:] < p[own][:-1], True) if len(own) else good  # whole groups of equal scores
-        fit_at = np.flatnonzero(good & last) if y[own].any() else []
-        limits[kind] = float(max(p[own][fit_at[-1]], 0.5)) if len(fit_at) else 2.0
+        own = held[held["kind"] == k].sort_values("bin", ascending=False)
+        fit_at = np.flatnonzero(own["good"].cumsum() >= PRECISION * own["n"].cumsum()) if own["good"].any() else []
+        if len(fit_at):
+            limits[kind] = float(max(1 / (1 + np.exp(-own["bin"].iloc[fit_at[-1]] / ODDS_BINS)), 0.5))
     return SpanModel(trees, limits)
 
 

@@ -140,3 +140,24 @@ def test_addresses_with_colons(spark):
         assert added(f"from {ip} at night") == [("ip", ip)]
     for clean in ("mac 00:1a:2b:3c:4d:5e up", "taken 2024:01:02:12:30:45 at home", "laps 12:30:45:12:31:02:59:10 run", "it was 12:30:45"):
         assert added(clean) == []
+
+
+def test_thresholds_come_from_all_documents(spark, monkeypatch):
+    from qalake.llm import pii
+    rng = random.Random(5)
+    cards = [c for c in (str(rng.randrange(4 * 10 ** 15, 5 * 10 ** 15)) for _ in range(20_000)) if luhn(c)]
+    rows = [(i, f"pay with {c} now") for i, c in enumerate(cards)]
+    monkeypatch.setattr(pii, "TRAIN_DOCS", len(rows) // 4)
+    frame = lambda: spark.createDataFrame(rows, "doc_id long, text string")
+    held_out = lambda t: any(half for _, _, half in pii.training_examples(t))
+    while some := {r["text"] for r in pii._sample(frame(), "doc_id", "text").collect() if held_out(r["text"])}:
+        rows = [(i, f"no card here, not {i} {len(t)}" if t in some else t) for i, t in rows]
+    assert sum(held_out(t) for _, t in rows) > 100  # outside the sample
+    assert pii.fit(frame()).limits["card"] <= 1.0
+
+
+def test_null_ids_are_sampled_by_their_texts(spark, monkeypatch):
+    from qalake.llm import pii
+    monkeypatch.setattr(pii, "TRAIN_DOCS", 100)
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(1000)], "doc_id long, text string")
+    assert 50 < pii._sample(docs, "doc_id", "text").count() < 150
