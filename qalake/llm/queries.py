@@ -153,6 +153,57 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text and in what is encoded inside it."""
+    from qalake.llm.secret_scan import KINDS, scan
+    found = scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["layer"] == "")
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in KINDS),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from qalake.llm.lexical import search
+    return search(_table(spark, sf_dir, "benchmark", "item_id", "text"),
+                  _table(spark, sf_dir, "documents", "doc_id", "text"), k=10)
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+), d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), p AS (SELECT term, doc_id, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY term, doc_id),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(c.docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM p, c GROUP BY term),
+i AS (
+  SELECT p.term, p.doc_id, w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * d.n * c.docs) // c.total))) AS impact
+  FROM p JOIN w ON p.term = w.term JOIN d ON p.doc_id = d.doc_id, c
+), s AS (SELECT q.item_id, i.doc_id, sum(i.impact)::BIGINT AS score FROM q JOIN i ON q.term = i.term GROUP BY q.item_id, i.doc_id),
+r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n, doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT item_id, n::INTEGER AS rank, doc_id, score FROM r WHERE n <= 10
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of the words of all documents."""
+    from qalake.llm.spelling import variants
+    return variants(_table(spark, sf_dir, "documents", "doc_id", "text"), damage=97)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_top_k": op2_top_k,
@@ -164,9 +215,13 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling": op13_spelling,
 }
 ORACLES: dict[str, str] = {
     "op2_top_k": OP2_SQL,
     "op5_vector_dedup": OP5_SQL,
     "op6_minhash": OP6_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
