@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from . import adapter
 from .adapter import oracle
-from .operators import derive, staging, tables
-from .pipeline import PipelineArgs, run_pipeline
+from .operators import derive, snapshots, staging, tables
+from .pipeline import PipelineArgs, run_pipeline, staged_manifest
 from .functions.pg import idiv
 from .session import scratch_path
 from .sources import dump, files, pieces
@@ -191,13 +191,44 @@ def _ingest_wrapped(spark: SparkSession, sf: str) -> DataFrame:
         site, stage = "site_" + uuid.uuid4().hex[:10], scratch_path(spark, "staging")
         run_pipeline(spark, PipelineArgs(site=site, source_dir=src, staging_dir=stage, tables=("posts",), wrapped=mode,
                                          warehouse_dir=scratch_path(spark, "warehouse")))
-        m = staging.read_manifest(spark, f"{stage}/{site}/posts/{staging.MANIFEST}")
+        m = staging.read_manifest(spark, staged_manifest(spark, f"{stage}/{site}/posts"))
         one = spark.table(f"{site}.posts").agg(F.count(F.lit(1)).alias("loaded")).select(
             F.lit(mode).alias("wrapped"), F.lit(m.found_rows).cast("long").alias("found"), "loaded")
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def _restage_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes staged twice, with writers that stop before and after the second commit: what readers find each time."""
+    votes = adapter.load(spark, sf).votes
+    root = scratch_path(spark, "votes-snapshots")
+
+    class Stopped(Exception):
+        pass
+
+    def stop_at(step: str):
+        def at(reached: str) -> None:
+            if reached == step:
+                raise Stopped(step)
+        return at
+
+    def stage(kind: int):
+        return lambda folder: staging.write_parts(votes.where(F.col("vote_type_id") >= kind), folder, "id", shards=4)
+
+    out = None
+    for event, kind, at in (("first", 1, None), ("stopped before its commit", 2, "staged"), ("second", 2, None),
+                            ("stopped after its commit", 3, "committed")):
+        try:
+            snapshots.write(spark, root, stage(kind), at=stop_at(at or ""))
+        except Stopped:
+            pass
+        found = snapshots.newest(spark, root)
+        one = staging.read_parts(spark, found.path).agg(F.count("*").alias("rows"), F.sum("id").alias("ids")).select(
+            F.lit(event).alias("event"), F.lit(found.version).cast("int").alias("version"), "rows", "ids")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _padded_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The key column with every second line's keys written with a leading zero."""
     return _lineitem_keys(spark, sf).withColumn(
@@ -406,6 +437,14 @@ WHERE id % 8 IN (3, 5) GROUP BY 1"""))
 SELECT false AS wrapped, count(*) AS found, count(*) FILTER (WHERE id % 10 <> 0) AS loaded FROM se_posts
 UNION ALL SELECT true, count(*), count(*) FROM se_posts"""))
 
+    reg["restage_snapshots"] = (
+        _restage_snapshots,
+        oracle(body="""
+SELECT event, CAST(version AS INTEGER) AS version, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids
+FROM (VALUES ('first', 1, 1), ('stopped before its commit', 1, 1), ('second', 2, 2), ('stopped after its commit', 3, 3))
+     AS e(event, version, kind)
+JOIN se_votes ON vote_type_id >= kind GROUP BY event, version"""))
+
     reg["check_duplicate_keys_typed"] = (
         lambda s, d: staging.duplicate_keys(_padded_keys(s, d), "id"),
         oracle(DUCK_LI_KEYS, body="""

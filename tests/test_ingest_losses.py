@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qalake.operators import staging, tables
-from qalake.pipeline import PipelineArgs, run_pipeline
+from qalake.pipeline import PipelineArgs, run_pipeline, staged_manifest
 from qalake.plans import content, timeline
 from qalake.sources import dump
 from qalake.specs import spec
@@ -33,7 +33,7 @@ def test_pipeline_warns_and_records_lost_rows(spark, tmp_path, caplog):
     with caplog.at_level(logging.WARNING, logger="qalake"):
         assert run_pipeline(spark, _args(tmp_path, site="lossy")) == {"tags": 2}
     assert "found 3 row(s), parsed 2, 1 of them without their end" in caplog.text
-    m = staging.read_manifest(spark, str(tmp_path / "staged/lossy/tags/manifest.json"))
+    m = staging.read_manifest(spark, staged_manifest(spark, str(tmp_path / "staged/lossy/tags")))
     assert (m.found_rows, m.total_rows, m.cut_rows) == (3, 2, 1)
     caplog.clear()
     with caplog.at_level(logging.WARNING, logger="qalake"):
