@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -44,6 +45,19 @@ def total_bytes(spark: SparkSession, path: str) -> int | None:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else None
 
 
+def stamp(spark: SparkSession, path: str) -> str | None:
+    """Names, sizes and times of a file, or of the files of a folder and its folders, in short; None if there is none."""
+    fs, p = _at(spark, path)
+    if not fs.exists(p):
+        return None
+    files, n = fs.listFiles(p, True), 0
+    while files.hasNext():  # in the file system's order, which need not be that of names
+        f = files.next()
+        line = f"{f.getPath().toUri().getPath()}:{f.getLen()}:{f.getModificationTime()}"
+        n = (n + int.from_bytes(hashlib.sha256(line.encode()).digest()[:16], "big")) % (1 << 128)
+    return f"{n:032x}"
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme, as Spark reports files."""
     fs, p = _at(spark, path)
