@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from . import adapter
 from .adapter import oracle
 from .operators import derive, snapshots, staging, tables
+from .operators.key_index import KeyIndex
 from .pipeline import PipelineArgs, run_pipeline, staged_manifest
 from .functions.pg import idiv
 from .session import scratch_path
-from .sources import dump, files, pieces
+from .sources import dump, files, fingerprint, pieces
 from .specs import spec
 from .streaming.ingest import ingest_stream
 
@@ -229,6 +230,36 @@ def _restage_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def _appended_key_clashes(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of a third batch of posts that one of the two batches before it holds, by the key index."""
+    posts = adapter.load(spark, sf).posts.select((F.col("id").cast("long") * 1009).alias("key"), "id", "post_type_id")
+    index = KeyIndex(spark, scratch_path(spark, "post-keys"))
+    kept = posts.where(F.col("id") % 3 != 0)
+    for kind in (1, 2):
+        index.prepare(kept.where(F.col("post_type_id") == kind), "key").enter(f"type{kind}")
+    index.compact()
+    index.prepare(posts.where("id % 3 = 0 and id % 5 = 0"), "key").enter("third")
+    batch = index.prepare(posts.where(F.col("id") % 2 == 0), "key")
+    return batch.suspects(but="third")
+
+
+CHANGED_WIDTH = 16
+
+
+def _source_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Key ranges in which documents differ from a copy with a byte changed here and a row dropped there."""
+    docs = adapter.read_base(spark, sf, "documents").select("doc_id", "text")
+    other = F.when(F.col("text").startswith("x"), "y").otherwise("x")
+    hit = (F.col("doc_id") % 211 == 5) & (F.length("text") > 0)
+    now = docs.where("doc_id % 307 <> 11").withColumn(
+        "text", F.when(hit, F.overlay("text", other, F.lit(1), F.lit(1))).otherwise(F.col("text")))
+    trees = []
+    for name, rows in (("was", docs), ("now", now)):
+        trees.append(scratch_path(spark, f"documents-{name}"))
+        fingerprint.write_tree(fingerprint.row_pieces(rows, F.col("doc_id"), [F.col("doc_id"), F.col("text")], CHANGED_WIDTH), trees[-1])
+    return fingerprint.ranges(fingerprint.changed_pieces(spark, *trees), CHANGED_WIDTH)
+
+
 def _padded_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The key column with every second line's keys written with a leading zero."""
     return _lineitem_keys(spark, sf).withColumn(
@@ -445,6 +476,20 @@ FROM (VALUES ('first', 1, 1), ('stopped before its commit', 1, 1), ('second', 2,
      AS e(event, version, kind)
 JOIN se_votes ON vote_type_id >= kind GROUP BY event, version"""))
 
+    reg["appended_key_clashes"] = (
+        _appended_key_clashes,
+        oracle(body="SELECT CAST(id AS BIGINT) * 1009 AS key FROM se_posts WHERE id % 2 = 0 AND id % 3 <> 0"))
+
+    reg["source_changes"] = (
+        _source_changes,
+        f"""
+WITH d AS (
+SELECT doc_id // {CHANGED_WIDTH} AS piece, doc_id % 307 = 11 AS dropped, doc_id % 211 = 5 AND length(text) > 0 AS edited
+FROM documents)
+SELECT piece * {CHANGED_WIDTH} AS low, piece * {CHANGED_WIDTH} + {CHANGED_WIDTH - 1} AS high,
+       CASE WHEN bool_and(dropped) THEN 'removed' ELSE 'changed' END AS change
+FROM d GROUP BY piece HAVING bool_or(dropped OR edited)""")
+
     reg["check_duplicate_keys_typed"] = (
         lambda s, d: staging.duplicate_keys(_padded_keys(s, d), "id"),
         oracle(DUCK_LI_KEYS, body="""
