@@ -17,6 +17,7 @@ from . import adapter
 from .adapter import oracle
 from .operators import derive, snapshots, staging, tables
 from .operators.key_index import KeyIndex
+from .operators.quarantine import quarantine
 from .pipeline import PipelineArgs, run_pipeline, staged_manifest
 from .functions.pg import idiv
 from .session import scratch_path
@@ -243,6 +244,24 @@ def _appended_key_clashes(spark: SparkSession, sf: str) -> DataFrame:
     return batch.suspects(but="third")
 
 
+def _typed_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines written as votes, some values damaged: rejected values by column and reason, and the rows that load."""
+    text = lambda c: F.col(c).cast("string")
+    rows = adapter.read_base(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 89 == 0, F.lit("")).otherwise((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string")).alias("id"),
+        text("l_orderkey").alias("post_id"),
+        F.when(F.col("l_partkey") % 101 == 0, F.concat(text("l_linenumber"), F.lit("x"))).otherwise(text("l_linenumber")).alias("vote_type_id"),
+        F.when(F.col("l_suppkey") % 13 == 0, F.lit("1998-13-45T00:00:00")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"))
+        .alias("creation_date"),
+        text("l_suppkey").alias("user_id"),
+        F.when(F.col("l_partkey") % 97 == 0, F.lit("99999999999")).alias("bounty_amount"))
+    done = quarantine(rows, spec("votes"), scratch_path(spark, "votes-typed"), max_share=0.5)
+    values = done.rejects.groupBy("column", "reason").agg(F.count("*").alias("n"), F.count_distinct("value").alias("distinct_values"))
+    good = done.good.agg(F.lit("").alias("column"), F.lit("loaded").alias("reason"), F.count("*").alias("n"),
+                         F.count_distinct("vote_type_id").alias("distinct_values"))
+    return values.unionByName(good)
+
+
 CHANGED_WIDTH = 16
 
 
@@ -480,6 +499,19 @@ JOIN se_votes ON vote_type_id >= kind GROUP BY event, version"""))
         _appended_key_clashes,
         oracle(body="SELECT CAST(id AS BIGINT) * 1009 AS key FROM se_posts WHERE id % 2 = 0 AND id % 3 <> 0"))
 
+    reg["typed_quarantine"] = (
+        _typed_quarantine,
+        """
+WITH v AS (
+SELECT l_orderkey % 89 = 0 AS no_key, l_partkey % 101 = 0 AS bad_type, l_suppkey % 13 = 0 AS bad_date,
+       l_partkey % 97 = 0 AS too_big, l_linenumber AS kind FROM lineitem)
+SELECT 'id' AS "column", 'missing primary key value' AS reason, count(*) AS n, CAST(1 AS BIGINT) AS distinct_values
+FROM v WHERE no_key HAVING count(*) > 0
+UNION ALL SELECT 'vote_type_id', 'invalid input for int', count(*), count(DISTINCT kind) FROM v WHERE bad_type HAVING count(*) > 0
+UNION ALL SELECT 'creation_date', 'invalid input for timestamp_ntz', count(*), 1 FROM v WHERE bad_date HAVING count(*) > 0
+UNION ALL SELECT 'bounty_amount', 'invalid input for int', count(*), 1 FROM v WHERE too_big HAVING count(*) > 0
+UNION ALL SELECT '', 'loaded', count(*), count(DISTINCT kind) FROM v WHERE NOT (no_key OR bad_type OR bad_date OR too_big)""")
+
     reg["source_changes"] = (
         _source_changes,
         f"""
