@@ -11,16 +11,17 @@ agree in a band are candidates.
 
 Documents with equal sets are one class. Within a band's bucket each class is
 compared with the bucket's leader, the class that meets the most others. Where a
-bucket then still holds several components, every pair across its components is
-compared: by set sizes and one bit of every slot first, which leaves few of the
-unlike texts that a common passage brings together. All links are confirmed on
-the full sets of the whole texts. Components are found by joins.
+bucket then still holds several components, its members' hashed sets go to tiles
+of bounded size (two chunks of the bucket each; buckets of the same members are one),
+a tile counts the shingles that its members share for all of them together, and
+returns a spanning forest of the links across components, never the pairs. All links
+are confirmed on the full sets of the whole texts. Components are found by joins.
 
 Edge cases. Null texts and texts without words have an empty set and link with
 nothing, nor do null ids (their component is null, they are kept). A text with
 fewer words than a shingle has its whole word sequence as its one shingle. Rows
-of equal ids are one node: a link of one is a link of all. Texts of any length
-are read whole. Empty tables give empty results; other columns do not take part.
+of equal ids are one node, also with different texts: a link of one is a link of
+all. Texts of any length are read whole. Empty tables give empty results; other columns do not take part.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qalake.llm.common import (BYTE_VALUES, TEXT_ROWS, U64, connected_components, gathered, materialize, mix64, prefix_sums,
-                               span_hashes, utf8_bytes, word_spans)
+                               slices, spanning_forest, span_hashes, utf8_bytes, word_spans)
 
 #: Bands and rows of a band: of pairs at similarity 0.8 one in 20 million shares no band.
 BANDS, ROWS = 32, 4
-#: Longs that hold one bit of every slot.
-BITS_LONGS = BANDS * ROWS // 64
+#: Members of a bucket's chunk, and shingles of their sets, about; shingles that a tile counts together.
+CHUNK, CHUNK_SHINGLES, COUNTED = 512, 1 << 20, 4096
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -119,7 +120,7 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text",
                bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Rows (doc_id, n_shingles, s1, s2, bits, bands): set size, 128 bits that name the set, a bit per slot, band keys."""
+    """Rows (doc_id, n_shingles, s1, s2, bands): set size, 128 bits that name the set, band keys."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,62 +131,136 @@ def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str =
             for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F):  # sums of two mixed copies of the elements
                 total = np.concatenate((np.zeros(1, U64), np.cumsum(mix64(h ^ U64(seed)))))
                 names.append((total[off[1:]] - total[off[:-1]]).view(np.int64))
-            slots = super_min_hash(h, off, bands * rows)
-            keys = band_keys(slots, bands)
+            keys = band_keys(super_min_hash(h, off, bands * rows), bands)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)),
                                              pa.array(keys.ravel()))
-            bits = np.packbits((slots >> 7 & 1).astype(np.uint8), axis=1).view(np.int64)
-            packed = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32)),
-                                              pa.array(bits.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), *map(pa.array, names), packed, lists],
-                                             ["doc_id", "n_shingles", "s1", "s2", "bits", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), *map(pa.array, names), lists],
+                                             ["doc_id", "n_shingles", "s1", "s2", "bands"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, bits array<long>, bands array<long>")
+        run, f"doc_id {kind}, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose full sets reach the similarity."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    with_a = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of document ids whose full sets (cid, set) reach the similarity."""
+    kind = sets.schema["cid"].dataType.simpleString()
+    with_a = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a")
+    both = with_a.join(sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in gathered(batches, "text_a"):
-            ha, oa = shingle_sets(b.column(2), words)
-            hb, ob = shingle_sets(b.column(3), words)
-            na, nb = np.diff(oa), np.diff(ob)
+        for b in slices(gathered(batches, "set_a"), "set_b"):
+            (da, oa), (db, ob) = (utf8_bytes(b.column(i)) for i in (2, 3))
+            na, nb = np.diff(oa) // 8, np.diff(ob) // 8
             row = np.concatenate((np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)))
-            h = np.concatenate((ha, hb))
+            h = np.frombuffer(np.concatenate((da, db)), U64)
             order = np.lexsort((h, row))
             row, h = row[order], h[order]
             same = np.bincount(row[1:][(row[1:] == row[:-1]) & (h[1:] == h[:-1])], minlength=len(na))
             keep = (100 * same >= percent * (na + nb - same)) & (na > 0)
             yield b.select([0, 1]).filter(pa.array(keep))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets (key) that hold several components (part)."""
-    keys = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    return rows.join(keys.select("key"), "key")
+def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """Rows (cid, set): the shingle hashes of the members' texts, in order."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.join(members.select(F.col("cid").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in gathered(batches, "text"):
+            h, off = shingle_sets(b.column(1), words)
+            data = np.ascontiguousarray(h).view(np.uint8)
+            blobs = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(8 * off), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([b.column(0), blobs.cast(pa.binary())], ["cid", "set"])
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's members from different components that may be similar enough.
+    return texts.mapInArrow(run, f"cid {kind}, set binary")
 
-    The set sizes must allow it, and the slots' bits must not differ in more places than a pair at the
-    similarity does but once in 10**9 cases (a slot's bits differ in half of the cases where the slots do).
-    """
-    names = [f"bits{i}" for i in range(BITS_LONGS)]
-    u, v = (rows.select("key", F.col("cid").alias(side), F.col("part").alias(f"part_{side}"), F.col("n").alias(f"n_{side}"),
-                        *(F.col(x).alias(f"{x}_{side}") for x in names)) for side in "ab")
-    slots, p = BANDS * ROWS, (1 - percent / 100) / 2
-    most = int(slots * p + 6.3 * (slots * p * (1 - p)) ** 0.5)
-    differ = " + ".join(f"bit_count({x}_a ^ {x}_b)" for x in names)
-    return (u.join(v, "key").where("a < b and part_a <> part_b")
-            .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and {differ} <= {most}").select("a", "b"))
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (key, chunks, cid, part, n) of the buckets that hold several components; buckets of the same members once."""
+    name = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cid"))
+    keys = (rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"),
+                                    F.sum("n").alias("shingles"), name(1).alias("x1"), name(2).alias("x2"))
+            .where("low <> high").groupBy("size", "shingles", "x1", "x2").agg(F.min("key").alias("key")))
+    chunks = F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    return rows.select("key", "cid", "part", "n").join(keys.select("key", chunks.alias("chunks")), "key")
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Each member once for every tile (key, i, j) that its chunk is part of."""
+    chunk = F.pmod(F.xxhash64(F.lit(3), "cid"), F.col("chunks")).cast("int")
+    rows = rows.withColumn("chunk", chunk)
+    other = rows.select("key", "cid", "part", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    return other.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "cid", "part")
+
+
+def shared_counts(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """How many hashes each two of ``n`` sets share, from (row, hash) pairs that occur once."""
+    order = np.argsort(hashes, kind="stable")
+    rows, hashes = rows[order], hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    name = np.cumsum(new) - 1
+    often = np.bincount(name)[name] > 1  # a hash of one set is shared by none
+    rows, name = rows[often], name[often]
+    name = np.cumsum(np.diff(name, prepend=name[:1]) != 0) if len(name) else name
+    out = np.zeros((n, n), np.float64 if len(hashes) >> 24 else np.float32)
+    for low in range(0, int(name[-1]) + 1 if len(name) else 0, COUNTED):
+        a, b = np.searchsorted(name, (low, low + COUNTED))
+        has = np.zeros((n, min(COUNTED, int(name[-1]) + 1 - low)), out.dtype)
+        has[rows[a:b], name[a:b] - low] = 1
+        out += has @ has.T
+    return out
+
+
+def _tile_links(tiles: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) across the components of each tile, as spanning forests; counted on the members' full sets."""
+    kind = tiles.schema["cid"].dataType.simpleString()
+
+    def forest(t: pa.Table) -> pa.RecordBatch:
+        cid = t.column("cid").to_numpy()
+        part, chunk = t.column("part").to_numpy(), t.column("chunk").to_numpy()
+        data, off = utf8_bytes(t.column("set"))
+        hashes, size = np.frombuffer(np.ascontiguousarray(data), U64), np.diff(off) // 8
+        same = shared_counts(np.repeat(np.arange(len(cid)), size), hashes, len(cid))
+        link = 100 * same >= percent * (size[:, None] + size[None, :] - same)
+        link &= part[:, None] != part[None, :]
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        if i != j:
+            link &= chunk[:, None] != chunk[None, :]
+        a, b = np.nonzero(np.triu(link, 1))
+        src, dst = spanning_forest(cid[a], cid[b])
+        return pa.RecordBatch.from_arrays([pa.array(src, t.schema.field("cid").type), pa.array(dst, t.schema.field("cid").type)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []  # rows of the last tile so far
+        last = None
+        for b in batches:
+            names = np.stack([b.column(i).to_numpy() for i in range(3)], 1)
+            cut = np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1
+            for at, end in zip([0, *cut.tolist()], [*cut.tolist(), len(names)]):
+                if kept and tuple(names[at]) != last:
+                    yield forest(pa.Table.from_batches(kept))
+                    kept = []
+                last = tuple(names[at])
+                kept.append(b.slice(at, end - at))
+        if kept:
+            yield forest(pa.Table.from_batches(kept))
+
+    by = ["key", "i", "j"]
+    return (tiles.select(*by, "chunk", "cid", "part", "set").repartition(*by).sortWithinPartitions(*by)
+            .mapInArrow(run, f"a {kind}, b {kind}").where("a <> b"))
+
+
+def _same_id(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of an id that stands on different texts."""
+    several = (usable.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "s1", "s2")).alias("low"),
+                                            F.max(F.struct("n_shingles", "s1", "s2")).alias("high"))
+               .where("low <> high").select("doc_id"))
+    own = usable.join(several, "doc_id").select("doc_id", "n_shingles", "s1", "s2").distinct()
+    own = own.join(classes.select("n_shingles", "s1", "s2", "cid"), ["n_shingles", "s1", "s2"])
+    return own.where("cid <> doc_id").select(F.col("cid").alias("a"), F.col("doc_id").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -194,27 +269,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sig = materialize(signatures(docs, words), "minhash-signatures", TEXT_ROWS)
     usable = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    classes = usable.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands"))
     classes = materialize(classes, "minhash-classes")
     members = classes.select("cid", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    bits = classes.select("cid", *(F.col("bits")[i].alias(f"bits{i}") for i in range(BITS_LONGS)))
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialize(members.join(sizes, "key"), "minhash-buckets")
 
     # a bucket's leader is its member that meets the most others over all buckets: the text that copies vary
     weights = shared.groupBy("cid").agg(F.sum("size").alias("weight"))
     placed = shared.join(weights, "cid")
-    leaders = placed.groupBy("key").agg(F.min_by("cid", F.struct(-F.col("weight"), F.col("cid"))).alias("leader"))
-    pairs = (shared.join(leaders, "key").where("cid <> leader")
-             .select(F.least("leader", "cid").alias("a"), F.greatest("leader", "cid").alias("b")).distinct())
-    links = materialize(confirmed(pairs, docs, words, percent), "minhash-links", TEXT_ROWS)
+    leaders = placed.groupBy("key").agg(F.min_by(F.struct("cid", "n"), F.struct(-F.col("weight"), F.col("cid"))).alias("leader"))
+    pairs = (shared.join(leaders, "key").where("cid <> leader.cid")
+             .where(f"100 * least(n, leader.n) >= {percent} * greatest(n, leader.n)")
+             .select(F.least("leader.cid", "cid").alias("a"), F.greatest("leader.cid", "cid").alias("b")).distinct())
+    sets = materialize(_sets(docs, shared, words), "minhash-sets", TEXT_ROWS)  # the only time that texts are shuffled
+    links = confirmed(pairs, sets, percent).unionByName(_same_id(usable, classes))
+    links = materialize(links, "minhash-links", TEXT_ROWS)
     parts = connected_components(links, "a", "b").withColumnRenamed("node", "cid")
 
-    # pairs across the components of a bucket
+    # links across the components of a bucket
     placed = shared.join(parts, "cid", "left").withColumn("part", F.coalesce("component", "cid")).drop("component")
-    rest = materialize(_mixed(placed).join(bits, "cid"), "minhash-mixed")
-    across = _across(rest, percent).distinct()
-    more = materialize(confirmed(across, docs, words, percent), "minhash-links", TEXT_ROWS)
+    rest = materialize(_mixed(placed), "minhash-mixed")
+    more = materialize(_tile_links(_tiles(rest).join(sets, "cid"), percent), "minhash-links", TEXT_ROWS)
     if more.limit(1).count():
         parts = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "cid")
 

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from qalake.llm import minhash
 from qalake.llm.common import connected_components
 from qalake.llm.minhash import keep_one, near_duplicates, shingle_sets, super_min_hash
 
@@ -112,3 +113,69 @@ def test_components(spark):
 def test_empty_table(spark):
     assert near_duplicates(documents(spark, [])).count() == 0
     assert keep_one(documents(spark, [])).count() == 0
+
+
+def test_one_id_on_different_texts_joins_their_groups(spark):
+    rng = random.Random(2)
+    one, two, three = (words(rng, 60) for _ in range(3))
+    rows = [(3, one), (4, two), (5, one), (5, two), (5, three), (9, three), (7, words(rng, 60)), (None, one), (None, two)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got if r["doc_id"] is not None) == [
+        (3, 3), (4, 3), (5, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
+    assert all(r["component_id"] is None for r in got if r["doc_id"] is None)
+
+
+def edited_copies(n=2000, length=120, seed=12):
+    """Copies of one text whose similarities to it run from about 0.7 to 0.85 (two-word shingles)."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(length)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(length), rng.randint(4, 11)):
+            w[at] = f"e{rng.randrange(6)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [minhash.CHUNK, 100])
+def test_a_large_group_around_the_similarity(spark, monkeypatch, chunk):
+    rows = edited_copies()
+    sets = [shingles(t, 2) for _, t in rows]
+    h, off = shingle_sets(pa.array([t for _, t in rows]), 2)
+    same = minhash.shared_counts(np.repeat(np.arange(len(rows)), np.diff(off)), h, len(rows))
+    assert all(same[i, i + 1] == len(sets[i] & sets[i + 1]) for i in range(0, 400, 7))
+    size = np.diff(off)
+    link = np.triu(100 * same >= 80 * (size[:, None] + size - same), 1)
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(*map(np.ndarray.tolist, np.nonzero(link))):
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(frame, words=2).collect()}
+    assert got == {i: find(i) for i in range(len(rows))}
+    assert 1 < len(set(got.values())) < len(rows)
+
+
+def test_tiles_find_links_that_no_leader_has(spark):
+    """Pairs of similar copies whose buckets' leaders are unlike both."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(100), 14):
+            w[at] = f"x{i}_{at}"
+        v = list(w)
+        v[rng.randrange(100)] = "once"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
+    assert got == brute(rows, 2)
