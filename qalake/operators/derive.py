@@ -9,9 +9,15 @@ sort-merges otherwise - the tag list is not assumed to be small.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import paths
+from ..sources import fingerprint
+from . import snapshots, staging
+
 
 def post_tags(posts: DataFrame, tags: DataFrame) -> DataFrame:
     """(post_id int, tag_id int, tag_name str) for every tag of every post."""
@@ -61,3 +67,70 @@ def refresh_post_tags(spark: SparkSession, posts: DataFrame, tags: DataFrame,
     writer.saveAsTable(table)
     spark.catalog.refreshTable(table)
     return spark.table(table)
+
+
+#: Post ids of a span: what is rewritten when one of its posts changes.
+SPAN_POSTS = 1 << 16
+
+
+@dataclass(frozen=True)
+class Maintained:
+    relation: DataFrame
+    spans: list[int]           # spans that were rewritten
+
+
+def _tag_names(posts: DataFrame) -> DataFrame:
+    """(span, tag_name) of the posts' tags."""
+    return posts.where("tags is not null and tags <> ''").select(
+        "span", F.explode(F.split(F.btrim(F.col("tags"), F.lit("|")), r"[|]")).alias("tag_name"))
+
+
+def maintain_post_tags(spark: SparkSession, posts: DataFrame, tags: DataFrame, path: str, *, width: int = SPAN_POSTS,
+                       check_unique: bool = True) -> Maintained:
+    """Bring the stored relation below ``path`` up to date, rewriting only what changed (D3).
+
+    The relation lies in one folder per span of ``width`` post ids. What it was made from is
+    kept beside it: a fingerprint of the posts' ids and tags, one hash per span, and the
+    tags. Spans whose hash differs, and spans with posts of a tag that came, went or changed
+    its id, are computed anew and replace their folders; all other files stay as they are.
+    The state is committed last: a stop in between makes the next call do the same spans again.
+    At most one number per span reaches the driver.
+    """
+    root, state = f"{path.rstrip('/')}/relation", f"{path.rstrip('/')}/_state"
+    posts = posts.select("id", "tags").withColumn("span", fingerprint.piece_of(F.col("id"), width))
+    tags = tags.select("id", "tag_name")
+    before = snapshots.newest(spark, state)
+    done: list[int] = []
+
+    def bring_up_to_date(folder: str) -> None:
+        tree = f"{folder}/tree"
+        fingerprint.write_tree(fingerprint.row_pieces(posts, F.col("id"), [F.col("id"), F.col("tags")], width), tree)
+        tags.write.parquet(f"{folder}/tags")
+        if before is None:
+            paths.delete(spark, root)  # a first try may have left something
+            touched = posts.select("span").distinct()
+        else:
+            touched = fingerprint.changed_pieces(spark, f"{before.path}/tree", tree).select(F.col("piece").alias("span"))
+            old = spark.read.schema(tags.schema).parquet(f"{before.path}/tags")
+            names = tags.exceptAll(old).unionAll(old.exceptAll(tags)).select("tag_name").distinct()
+            if names.limit(1).count():
+                touched = touched.unionAll(_tag_names(posts).join(names, "tag_name", "left_semi").select("span")).distinct()
+        done.extend(sorted(r["span"] for r in touched.collect()))
+        if not done:
+            return
+        only = F.broadcast(spark.createDataFrame([(k,) for k in done], "span long"))  # one row per span
+        rows = post_tags(posts.join(only, "span", "left_semi"), tags)
+        if check_unique:
+            check_post_tags_unique(rows)
+        rows = rows.withColumn("span", fingerprint.piece_of(F.col("post_id"), width))
+        with staging.session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            rows.repartition("span").sortWithinPartitions("span", "post_id").write.mode("overwrite").partitionBy("span").parquet(root)
+        written = {r["span"] for r in rows.select("span").distinct().collect()}
+        for k in set(done) - written:  # spans whose posts have lost all tags
+            paths.delete(spark, f"{root}/span={k}")
+
+    snapshots.write(spark, state, bring_up_to_date)
+    schema = "post_id int, tag_id int, tag_name string"
+    if not paths.exists(spark, root):
+        return Maintained(spark.createDataFrame([], schema), done)
+    return Maintained(spark.read.schema(schema).parquet(root).select("post_id", "tag_id", "tag_name"), done)

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adapter
+from . import adapter, paths
 from .adapter import oracle
 from .operators import derive, snapshots, staging, tables
 from .operators.key_index import KeyIndex
@@ -174,6 +174,17 @@ def _refresh_post_tags(spark: SparkSession, sf: str) -> DataFrame:
                                     path=scratch_path(spark, name))
 
 
+def _maintained_post_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """D3 by changes: an earlier state of posts and tags is stored, then brought up to date; read back what is stored."""
+    qa = adapter.load(spark, sf)
+    path = scratch_path(spark, "post-tags-kept")
+    earlier = qa.posts.where("id % 56 <> 0").withColumn(
+        "tags", F.when(F.col("id") % 88 == 0, F.lit("|status-o|gone|")).otherwise(F.col("tags")))
+    tags = qa.tags.where("tag_name <> 'prio-3'").unionAll(qa.tags.limit(1).select(F.lit(99).alias("id"), F.lit("gone").alias("tag_name")))
+    derive.maintain_post_tags(spark, earlier, tags, path, width=1 << 10)
+    return derive.maintain_post_tags(spark, qa.posts, qa.tags, path, width=1 << 10).relation
+
+
 def _list_files(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the listed parts by folder: the listing joined with the parts' own file names."""
     out = scratch_path(spark, "posts-parts")
@@ -244,6 +255,21 @@ def _appended_key_clashes(spark: SparkSession, sf: str) -> DataFrame:
     return batch.suspects(but="third")
 
 
+def _part_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents staged in sized parts, then parts taken away, added and cut short: what the check names, by shard."""
+    out = scratch_path(spark, "documents-parts")
+    docs = _documents(spark, sf)
+    staging.write_parts(docs, out, "doc_id", shards=8, max_rows_per_part=100, part_bytes=1 << 16)
+    staging.build_manifest(spark, out, table="documents", key="doc_id", columns=DOC_COLS, source="documents.parquet", shards=8,
+                           as_table=True)
+    paths.delete(spark, f"{out}/shard=3")
+    docs.where(F.col("doc_id") % 8 == 5).write.mode("append").parquet(f"{out}/shard=5")
+    for part in paths.children(spark, f"{out}/shard=6"):
+        if part.name.startswith("part-"):
+            paths.write_text(spark, f"{out}/shard=6/{part.name}", "cut")
+    return staging.part_problems(spark, out).select("shard", "problem").distinct()
+
+
 def _typed_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines written as votes, some values damaged: rejected values by column and reason, and the rows that load."""
     text = lambda c: F.col(c).cast("string")
@@ -475,6 +501,10 @@ SELECT post_id, tag_id, count(*) AS n FROM pt GROUP BY post_id, tag_id HAVING co
         _refresh_post_tags,
         oracle(adapter.DUCK_POST_TAGS, body="SELECT post_id, tag_id, tag_name FROM se_post_tags"))
 
+    reg["post_tags_maintained"] = (
+        _maintained_post_tags,
+        oracle(adapter.DUCK_POST_TAGS, body="SELECT post_id, tag_id, tag_name FROM se_post_tags"))
+
     reg["list_files_filtered"] = (
         _list_files,
         oracle(body="""
@@ -499,6 +529,13 @@ JOIN se_votes ON vote_type_id >= kind GROUP BY event, version"""))
         _appended_key_clashes,
         oracle(body="SELECT CAST(id AS BIGINT) * 1009 AS key FROM se_posts WHERE id % 2 = 0 AND id % 3 <> 0"))
 
+    reg["manifest_part_problems"] = (
+        _part_problems,
+        """
+SELECT DISTINCT CAST(doc_id % 8 AS INTEGER) AS shard,
+       CASE doc_id % 8 WHEN 3 THEN 'missing' WHEN 5 THEN 'extra' ELSE 'size' END AS problem
+FROM documents WHERE doc_id % 8 IN (3, 5, 6)""")
+
     reg["typed_quarantine"] = (
         _typed_quarantine,
         """
