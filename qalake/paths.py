@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -39,6 +40,17 @@ def children(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(found, key=lambda e: e.name)
 
 
+def walk(spark: SparkSession, root: str) -> Iterator[tuple[str, str, int]]:
+    """(path, path below the root, length) of all files below a folder, as the file system lists them."""
+    fs, p = _at(spark, root)
+    base = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/"
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        at = f.getPath()
+        yield at.toString(), at.toUri().getPath().removeprefix(base), f.getLen()
+
+
 def total_bytes(spark: SparkSession, path: str) -> int | None:
     """Bytes of a file, or of all files below a folder; None if it does not exist."""
     fs, p = _at(spark, path)

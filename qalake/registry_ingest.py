@@ -189,12 +189,22 @@ def _list_files(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the listed parts by folder: the listing joined with the parts' own file names."""
     out = scratch_path(spark, "posts-parts")
     staging.write_parts(adapter.load(spark, sf).posts, out, "id", shards=8, max_rows_per_part=1000)
-    listed = files.list_files(spark, out, r"re:shard=[35]/").select(
+    listed = files.list_files(spark, out, r"re:shard=[35]/part-").select(
         "path", F.regexp_extract("rel_path", "^(.*)/", 1).alias("folder"))
-    rows = staging.read_parts(spark, out).select(F.col("_metadata.file_path").alias("path"))
+    rows = staging.read_parts(spark, out).select(F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"))
     return rows.join(listed, "path").groupBy("folder").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _list_hidden(spark: SparkSession, sf: str) -> DataFrame:
+    """Every file below a folder of documents by source, some folders hidden, with their rows: what a listing must not leave out."""
+    root = scratch_path(spark, "documents-listed")
+    docs = adapter.read_base(spark, sf, "documents").select("doc_id", F.concat(F.lit("s"), F.pmod("doc_id", F.lit(5))).alias("kind"))
+    for kind, folder in enumerate(("s0", "_s1", ".s2", "s3/_deep", "s4/.deep/s")):
+        docs.where(F.col("kind") == f"s{kind}").select(F.col("doc_id").cast("string")).coalesce(1).write.text(f"{root}/{folder}")
+    text = files.list_files(spark, root, r"re:/part-[^/]*\.txt$")
+    return text.select(F.regexp_extract("rel_path", "^(.*)/", 1).alias("folder"), "length")
+
+
 def _ingest_wrapped(spark: SparkSession, sf: str) -> DataFrame:
     """Posts whose rows partly span lines through the pipeline: what its manifest found, and what it loaded."""
     src = scratch_path(spark, "wrapped-xml")
@@ -327,7 +337,7 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 PIECE = 1024
 
 
-def _piece_audit(spark: SparkSession, sf: str) -> DataFrame:
+def _pieces_checked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Documents as files (ASCII, one line each) in a torrent-like stream of
     1 KiB pieces; every 10th file has one byte changed in its first full
     piece, every 50th (doc_id % 50 = 7) is not written at all."""
@@ -346,7 +356,7 @@ def _piece_audit(spark: SparkSession, sf: str) -> DataFrame:
     (entries.where(F.col("doc_id") % 50 != 7)
      .select("doc_id", F.coalesce(corrupt, F.col("orig")).alias("body"))
      .write.partitionBy("doc_id").text(root))
-    present = (files.list_files(spark, root)
+    present = (files.list_files(spark, root, r"re:/part-[^/]*\.txt$")
                .select(F.regexp_extract("rel_path", r"^(doc_id=\d+)/", 1).alias("name"), "path"))
     listed = entries.select("name", "offset", "length")
     # the file bytes are the line plus the newline the text writer adds
@@ -355,8 +365,7 @@ def _piece_audit(spark: SparkSession, sf: str) -> DataFrame:
                .select("piece_idx",
                        F.sha1(content.substr((F.col("pos") + 1).cast("int"), F.lit(PIECE)))
                        .alias("digest")))
-    summary, _ = pieces.verify_pieces(listed, present, digests, PIECE)
-    return summary
+    return pieces.verify_pieces(listed, present, digests, PIECE)
 
 
 DUCK_PIECES = f"""d AS (
@@ -511,6 +520,18 @@ SELECT post_id, tag_id, count(*) AS n FROM pt GROUP BY post_id, tag_id HAVING co
 SELECT 'shard=' || CAST(id % 8 AS VARCHAR) AS folder, count(*) AS rows FROM se_posts
 WHERE id % 8 IN (3, 5) GROUP BY 1"""))
 
+    reg["list_files_hidden"] = (
+        _list_hidden,
+        """
+SELECT folder, sum(length(CAST(doc_id AS VARCHAR)) + 1)::BIGINT AS length
+FROM (VALUES (0, 's0'), (1, '_s1'), (2, '.s2'), (3, 's3/_deep'), (4, 's4/.deep/s')) AS f(kind, folder)
+JOIN documents ON doc_id % 5 = kind GROUP BY folder""")
+
+    reg["piece_hash_bad"] = (
+        lambda s, d: _pieces_checked(s, d)[1],
+        "WITH " + DUCK_PIECES + """
+SELECT 'doc_id=' || CAST(doc_id AS VARCHAR) AS name, piece_idx FROM p WHERE want <> got AND doc_id % 50 <> 7""")
+
     reg["ingest_wrapped_rows"] = (
         _ingest_wrapped,
         oracle(body="""
@@ -567,7 +588,7 @@ FROM (SELECT CASE WHEN CAST(line AS INTEGER) % 2 = 0 THEN '0' || id ELSE id END
 WHERE k IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""))
 
     reg["piece_hash_audit"] = (
-        _piece_audit,
+        lambda s, d: _pieces_checked(s, d)[0],
         "WITH " + DUCK_PIECES + """
 SELECT 'doc_id=' || CAST(e.doc_id AS VARCHAR) AS name,
        CASE WHEN e.doc_id % 50 = 7 THEN 'missing'

@@ -7,24 +7,22 @@ partial pieces need bytes of neighbouring files and are skipped. A listed
 file that is not on disk is reported missing.
 
 As Spark jobs: file offsets are a distributed prefix sum of the lengths;
-pieces are generated per file; the bytes are read with ranged reads inside
-``mapInPandas`` (one open per file and batch, never the whole file in
-memory); digests are compared by a join on the piece index. The report is a
-per-file summary plus one row per bad piece - no list of a file's pieces is
+pieces are generated per file; digests are compared by a join on the piece
+index. The bytes are read by Spark's own line reader, on any path it reads: it
+splits large files, keeps every byte between two newline bytes, and says where a
+split starts, so a prefix sum of the lines' lengths gives each line its place in
+the file. Lines are cut at piece borders, and a piece is put together from its
+parts (compressed files have a newline in every few hundred bytes). The report is
+a per-file summary plus one row per bad piece - no list of a file's pieces is
 ever collected into one value.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.pg import idiv
-from ..session import local_path
 
 
 def running_offsets(df: DataFrame, order_col: str, len_col: str, bucket: int = 1 << 16) -> DataFrame:
@@ -55,41 +53,66 @@ def file_pieces(entries: DataFrame, piece_len: int) -> DataFrame:
             .select("name", "piece_idx", (F.col("piece_idx") * L - F.col("offset")).alias("pos")))
 
 
-def _hash_ranges(piece_len: int):
-    """mapInPandas body: SHA-1 of each (path, pos) range, one open per file."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            names, idxs, digests = [], [], []
-            for path, grp in b.groupby("path", sort=False):
-                with open(local_path(path) or path, "rb") as fh:
-                    for name, idx, pos in zip(grp["name"], grp["piece_idx"], grp["pos"]):
-                        fh.seek(int(pos))
-                        names.append(name)
-                        idxs.append(int(idx))
-                        digests.append(hashlib.sha1(fh.read(piece_len)).hexdigest())
-            yield pd.DataFrame({"name": names, "piece_idx": idxs, "actual": digests})
-    return run
-
-
-def verify_pieces(entries: DataFrame, present: DataFrame, digests: DataFrame,
-                  piece_len: int) -> tuple[DataFrame, DataFrame]:
+def line_places(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(path, start, data) of the lines of files, newline included: where each begins in its file, and its bytes."""
+    lines = spark.read.option("lineSep", "\n").text(files).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("total"), F.monotonically_increasing_id().alias("seq"),
+        F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("data"))
+    lines = lines.withColumn("size", F.octet_length("data"))
+    blocks = lines.groupBy("path", "block").agg(F.sum("size").alias("n"))  # one row per split
+    before = blocks.select("path", "block", (F.sum("n").over(Window.partitionBy("path").orderBy("block")) - F.col("n")).alias("before"))
+    inside = F.sum("size").over(Window.partitionBy("path", "block").orderBy("seq")) - F.col("size")
+    placed = lines.withColumn("inside", inside).join(before, ["path", "block"]).withColumn("start", F.col("before") + F.col("inside"))
+    # the last line of a file need not end in a newline
+    data = F.substring("data", F.lit(1), F.least(F.col("size").cast("long"), F.col("total") - F.col("start")).cast("int"))
+    return placed.select("path", "start", data.alias("data"))
+
+
+def _plain(path: Column) -> Column:
+    """A path with one slash behind its scheme (``file:///a`` and ``file:/a`` are one)."""
+    named = F.when(path.contains(":"), path).otherwise(F.concat(F.lit("file:"), path))
+    return F.regexp_replace(named, "^file:/*", "file:/")
+
+
+def piece_digests(spark: SparkSession, located: DataFrame, piece_len: int) -> DataFrame:
+    """(name, piece_idx, actual): SHA-1 of the pieces (name, piece_idx, pos, path) as far as their files hold them."""
+    per_file = located.groupBy("name", "path").agg(
+        F.min("pos").alias("first_pos"), F.min("piece_idx").alias("first_idx"), F.max("piece_idx").alias("last_idx"))
+    files = [r["path"] for r in per_file.select("path").distinct().collect()]  # files that hold a whole piece
+    if not files:
+        return spark.createDataFrame([], "name string, piece_idx long, actual string")
+    lines = line_places(spark, files).withColumn("path", _plain(F.col("path")))
+    lines = lines.join(per_file.withColumn("path", _plain(F.col("path"))), "path")
+    end, L = F.col("start") + F.octet_length("data"), F.lit(piece_len)
+    low = F.greatest(idiv(F.greatest(F.col("start") - F.col("first_pos"), F.lit(0)), L), F.lit(0))
+    high = F.least(idiv(end - 1 - F.col("first_pos"), L), F.col("last_idx") - F.col("first_idx"))
+    parts = (lines.where((end > F.col("first_pos")) & (low <= high))
+             .select("name", "start", "data", "first_idx", "first_pos", end.alias("end"), F.explode(F.sequence(low, high)).alias("k")))
+    a = F.greatest(F.col("start"), F.col("first_pos") + F.col("k") * L)
+    b = F.least(F.col("end"), F.col("first_pos") + (F.col("k") + 1) * L)
+    cut = F.substring("data", (a - F.col("start") + 1).cast("int"), (b - a).cast("int"))
+    parts = parts.select("name", (F.col("first_idx") + F.col("k")).alias("piece_idx"), F.struct(a.alias("at"), F.hex(cut).alias("hex")).alias("part"))
+    whole = F.unhex(F.array_join(F.transform(F.sort_array(F.collect_list("part")), lambda p: p["hex"]), ""))  # one piece
+    return parts.groupBy("name", "piece_idx").agg(F.sha1(whole).alias("actual"))
+
+
+def verify_pieces(entries: DataFrame, present: DataFrame, digests: DataFrame, piece_len: int,
+                  wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Check files against piece digests.
 
     entries: (name, offset, length) of every listed file; present: (name,
-    path) of the files on disk; digests: (piece_idx, digest) hex SHA-1.
-    Returns (summary(name, status, n_bad, first_bad), bad(name, piece_idx)).
-    status is 'missing', 'mismatch' or 'ok'.
+    path) of the files that are there; digests: (piece_idx, digest) hex SHA-1;
+    wanted: (name) of the files to check (all). Returns (summary(name, status,
+    n_bad, first_bad), bad(name, piece_idx)). status is 'missing', 'mismatch' or
+    'ok'; a piece that its file does not hold in full is bad.
     """
-    pieces = file_pieces(entries, piece_len)
-    # spread the pieces of one (possibly huge) file over all tasks; read each
-    # task's ranges in file order
-    located = (pieces.join(present, "name").repartition("piece_idx")
-               .sortWithinPartitions("path", "pos"))
-    hashed = located.mapInPandas(_hash_ranges(piece_len),
-                                 "name string, piece_idx long, actual string")
-    bad = (hashed.join(digests, "piece_idx", "left")
-           .where(F.col("digest").isNull() | (F.lower("digest") != F.col("actual")))
-           .select("name", "piece_idx"))
+    if wanted is not None:
+        entries = entries.join(wanted.select("name").distinct(), "name", "left_semi")
+    located = file_pieces(entries, piece_len).join(present, "name")
+    hashed = piece_digests(entries.sparkSession, located, piece_len)
+    bad = (located.select("name", "piece_idx").join(hashed, ["name", "piece_idx"], "left").join(digests, "piece_idx", "left")
+           .where(~F.lower("digest").eqNullSafe(F.col("actual")) | F.col("digest").isNull()).select("name", "piece_idx"))
     per_file = bad.groupBy("name").agg(F.count(F.lit(1)).alias("n_bad"),
                                        F.min("piece_idx").alias("first_bad"))
     summary = (entries.select("name").distinct()

@@ -68,3 +68,45 @@ def test_file_pieces_bounds(spark):
     got = sorted((r["piece_idx"], r["pos"]) for r in pieces.file_pieces(e, 8).collect())
     assert got == [(1, 3), (2, 11)]  # bytes 8..23 of the stream; 24..24 is partial
     assert pieces.file_pieces(e.withColumn("length", F.lit(4)), 8).count() == 0
+
+
+def test_binary_files_split_and_cut_anywhere(spark, tmp_path):
+    import random
+    rng = random.Random(3)
+    data = {"a": rng.randbytes(200_000), "b": b"\n" * 5000, "c": b"x" * 30_000, "d": b"", "e": rng.randbytes(3) + b"\n", "f": rng.randbytes(90_001)}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got, bad = _run(spark, data, data, tmp_path, piece_len=1000)
+        assert bad == [] and all(v[0] == "ok" for v in got.values())
+        hurt = dict(data, a=data["a"][:150_500] + b"\n" + data["a"][150_501:], c=data["c"][:-1001], f=data["f"][:7] + data["f"][8:] + b"!")
+        hurt["a"] = hurt["a"] if hurt["a"] != data["a"] else data["a"][:150_500] + b"x" + data["a"][150_501:]
+        got, bad = _run(spark, data, hurt, tmp_path, piece_len=1000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    stream, at = b"".join(data.values()), 0
+    want = set()
+    for name, x in data.items():
+        for k in range(-(-at // 1000), (at + len(x)) // 1000):
+            if hurt[name][k * 1000 - at:(k + 1) * 1000 - at] != stream[k * 1000:(k + 1) * 1000]:
+                want.add((name, k))
+        at += len(x)
+    assert set(bad) == want and {n for n, _ in want} == {"a", "c", "f"} and got["b"][0] == "ok"
+
+
+def test_wanted_files_only_and_other_schemes(spark, tmp_path):
+    a, b = bytes(range(32)), bytes(range(100, 132))
+    entries = spark.createDataFrame([("a", 0, 32), ("b", 32, 32)], "name string, offset long, length long")
+    (tmp_path / "a").write_bytes(a)
+    (tmp_path / "b").write_bytes(b[::-1])
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.pieces.link./top", f"file://{tmp_path}")
+    present = spark.createDataFrame([("a", "viewfs://pieces/top/a"), ("b", f"file://{tmp_path}/b")], "name string, path string")
+    digests = _digests(spark, a + b, 8)
+    summary, bad = pieces.verify_pieces(entries, present, digests, 8)
+    assert {r["name"]: (r["status"], r["n_bad"]) for r in summary.collect()} == {"a": ("ok", 0), "b": ("mismatch", 4)}
+    summary, bad = pieces.verify_pieces(entries, present, digests, 8, wanted=spark.createDataFrame([("a",)], "name string"))
+    assert [(r["name"], r["status"]) for r in summary.collect()] == [("a", "ok")] and bad.count() == 0
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
