@@ -78,3 +78,61 @@ def test_empty_table(spark):
     assert mixed_documents(documents(spark, [])).count() == 0
     only = [(1, None, None, None, None, None, None, None), (2, " ", None, "s", None, None, None, None)]
     assert [r["taken"] for r in mix(documents(spark, only)).collect()] == [0, 0]
+
+
+def brute_mix(rows, seed=42):
+    """The order by finish time, walked through copy by copy: {(doc, text, source, number): copies}."""
+    from pyspark.sql import functions as F
+    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    sizes, target = reshare(rows)
+    seen, places = {}, []
+    for r in rows:
+        k = (r[0], r[1], r[3])
+        places.append((*k, seen.setdefault(k, 0)))
+        seen[k] += 1
+    frame = spark.createDataFrame(places, "doc_id long, text string, source string, number long")
+    hashes = frame.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text"), "number")).collect()
+    copies = []
+    for s in sizes:
+        own, at = sorted((r for r in hashes if r["source"] == s), key=lambda r: (r["h"] % 4096, r["h"])), 0
+        for r in own:
+            n = size(r["text"])
+            at += n
+            copies += [((at + k * sizes[s]) / target[s], n, tuple(r)[:4]) for k in range(3) if n and target[s]]
+    copies.sort(key=lambda c: c[0])
+    out, used, i = {}, 0, 0
+    while i < len(copies):  # copies of one time go together
+        j = i
+        while j < len(copies) and copies[j][0] == copies[i][0]:
+            j += 1
+        words = sum(c[1] for c in copies[i:j])
+        if used + words > sum(sizes.values()):
+            break
+        for _, _, k in copies[i:j]:
+            out[k] = out.get(k, 0) + 1
+        used, i = used + words, j
+    return out
+
+
+def test_order_and_taken_words_against_a_walk(spark):
+    rows = odd_documents(n=90)
+    want = brute_mix(rows)
+    got = mix(documents(spark, rows)).collect()
+    text_of = {r["h"]: r["text"] for r in documents(spark, rows).selectExpr("xxhash64(text) AS h", "text").collect()}
+    assert {(r["doc_id"], text_of[r["text_hash"]], r["source"], r["number"]): r["n_copies"] for r in got if r["n_copies"]} == want
+
+
+def test_null_and_repeated_ids_keep_the_targets(spark):
+    rows = [(None if i % 3 else i % 7, "w " * (1 + i % 9), "en", "ab"[i % 2], i, 1.0, 7, "z") for i in range(400)]
+    rows += [(None, "w w", "en", "c", 0, 1.0, 7, "z")] * 200  # one row, many times
+    got = mix(documents(spark, rows)).collect()
+    check(rows, got)
+    out = mixed_documents(documents(spark, rows)).collect()
+    taken = {}
+    for r in out:
+        taken[r["source"]] = taken.get(r["source"], 0) + size(r["text"])
+    plan = {}
+    for r in got:
+        plan[r["source"]] = plan.get(r["source"], 0) + r["taken"]
+    assert taken == plan
+    assert documents(spark, out).exceptAll(documents(spark, rows * 3)).count() == 0
