@@ -21,7 +21,7 @@ indexed. Recall against brute force is in the tests.
 Edge cases. Vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing, as do null ids (their component is null, they are
 kept). Shorter vectors count as padded with zeros. Rows of equal ids are one
-node. Empty tables give empty results; other columns do not take part.
+node, also with different vectors: a link of one is a link of all. Empty tables give empty results; other columns do not take part.
 """
 
 from __future__ import annotations
@@ -215,7 +215,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "
     found = materialize(held.unionByName(asked).groupBy("list", "part", "chunk").applyInArrow(
         search, f"cid {kind}, links long, other {kind}"), "vector-links")
     counts = found.where("other is null").groupBy("cid").agg(F.sum("links").alias("links"))
-    parts_of = connected_components(found.where("other is not null"), "cid", "other")
+    links = found.where("other is not null").select("cid", "other")
+    parts_of = connected_components(links.unionByName(_same_id(rows, classes)), "cid", "other")
     done = (classes.join(counts, "cid", "left").join(parts_of.withColumnRenamed("node", "cid"), "cid", "left")
             .select(F.col("x").alias("_x"), (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"),
                     F.coalesce("component", "cid").alias("component_id")))
@@ -223,6 +224,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "
     return _result(linked.unionByName(alone))
 
 
+def _same_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (cid, other) between the classes of an id that stands on different vectors."""
+    usable = rows.where("x is not null")
+    several = usable.groupBy("vec_id").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low <> high").select("vec_id")
+    own = usable.join(several, "vec_id").distinct().join(classes.select("x", "cid"), "x")
+    return own.where("cid <> vec_id").select("cid", F.col("vec_id").alias("other"))
+
+
 def _result(rows: DataFrame) -> DataFrame:
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return rows.select("vec_id", "n_links", "component_id", kept.alias("kept"))

@@ -64,3 +64,10 @@ def test_unusable_rows(spark):
 def test_empty_table(spark):
     assert run(spark, []) == []
     assert len(run(spark, [(1, None, 0, "c", 1)])) == 1
+
+
+def test_one_id_on_different_vectors_joins_their_groups(spark):
+    e = np.eye(4, dtype=np.float32).tolist()
+    rows = [(i, v, 0, "c", 1) for i, v in ((3, e[0]), (4, e[1]), (5, e[0]), (5, e[1]), (5, e[2]), (9, e[2]), (7, e[3]), (None, e[0]))]
+    got = sorted((r["vec_id"], r["component_id"]) for r in run(spark, rows) if r["vec_id"] is not None)
+    assert got == [(3, 3), (4, 3), (5, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
