@@ -84,10 +84,11 @@ def q04_interesting_unanswered(posts: DataFrame, post_tags: DataFrame, votes: Da
                          ).select("id", "score", "owner_user_id")
     scored_answers = posts.where(F.col("parent_id").isNotNull() & (F.col("score") > 0)
                                  ).select(F.col("parent_id").alias("qid"))
-    unanswered = open_q.join(scored_answers, open_q["id"] == scored_answers["qid"], "left_anti")
+    # the top tags select questions first: only those are looked up among the answers
+    tagged = open_q.where(F.col("owner_user_id").isNotNull()).join(tag_votes, open_q["id"] == tag_votes["post_id"])
+    unanswered = tagged.join(scored_answers, F.col("id") == F.col("qid"), "left_anti")
     askers = users.select(F.col("id").alias("uid"), "reputation")
-    j = (unanswered.join(tag_votes, unanswered["id"] == tag_votes["post_id"])
-         .join(askers, F.col("owner_user_id") == F.col("uid")))
+    j = unanswered.join(askers, F.col("owner_user_id") == F.col("uid"))
     # weight = tag_votes/10 + reputation/200 + score*100, kept exact as n/200
     num = (F.col("tag_votes") * 20 + F.col("reputation").cast("long")
            + F.col("score").cast("long") * 20000)
