@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier of character n-grams scaled by naive Bayes log-count ratios.
 
-Texts are lower-cased (A-Z) UTF-8 bytes with runs of white space as one blank and
-a blank at either end. Their n-grams of ``SIZES`` bytes fall into 2**BITS buckets.
+Texts are lower-cased (A-Z) code points with runs of white space as one blank and
+a blank at either end. Their n-grams of ``SIZES`` characters fall into 2**BITS buckets.
 From the training rows each bucket gets the log ratio of its smoothed document
 shares in the two classes; buckets whose ratio stands out of its sampling error
 (``Z``) are features (``FEATURES`` at most), with that ratio as their value where a text has the bucket.
@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qalake.llm.common import BYTE_VALUES, SPACE_BYTES, U64, gathered, materialize, mix64, utf8_bytes
+from qalake.llm.common import SPACE_BYTES, U64, gathered, materialize, mix64, utf8_bytes
 from qalake.llm.quality import id_remainder
 
 SIZES, BITS = (4, 5, 6), 20
@@ -38,19 +38,30 @@ Z = 4.0
 #: Features of a model at most: the significant buckets of the greatest ratios.
 FEATURES = 8192
 
-_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER = np.arange(128, dtype=np.uint32)
 _LOWER[65:91] += 32
-_LOWER[SPACE_BYTES] = 32
+_LOWER[np.flatnonzero(SPACE_BYTES[:128])] = 32
+_ODD = U64(0xD1342543DE82EF95)
 
 
-def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
-    """(normal bytes, row offsets, buckets of the n-grams at each byte, one array per size)."""
+def _characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, A-Z lower-cased and white space as blanks; row offsets)."""
     data, off = utf8_bytes(texts)
+    before = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))  # characters that start before each byte
+    points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    plain = points < 128
+    points[plain] = _LOWER[points[plain]]
+    return points, before[off]
+
+
+def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
+    """(normal characters, row offsets, buckets of the n-grams at each character, one array per size)."""
+    data, off = _characters(texts)
     n = len(off) - 1
     # a blank before each text and one behind the last: every text stands between blanks
-    own = np.full(len(data) + n + 1, 32, np.uint8)
+    own = np.full(len(data) + n + 1, 32, np.uint32)
     at = np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(off))
-    own[at] = _LOWER[data]
+    own[at] = data
     start = off[:-1] + np.arange(n)
     blank = own == 32
     keep = np.ones(len(own), bool)
@@ -58,7 +69,7 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray
     keep[start] = True
     place = np.cumsum(keep) - 1
     own, off = own[keep], np.append(place[start], keep.sum())
-    value = BYTE_VALUES[own]
+    value = mix64((own.astype(U64) + U64(1)) * _ODD)
 
     def each() -> Iterator[np.ndarray]:
         for size in SIZES:
@@ -73,14 +84,15 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray
 
 def document_buckets(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(rows, buckets): the distinct buckets of each text; only those that ``wanted`` marks, if given."""
-    _, off, each = _grams(texts)
+    own, off, each = _grams(texts)
     n = len(off) - 1
+    closed = (own[off[1:] - 1] != 32).astype(np.int64)  # a text that ends in a blank has its closing one
     rows, found = [], []
     for size, bucket in zip(SIZES, each):
         at = np.flatnonzero(wanted[bucket]) if wanted is not None else np.arange(len(bucket))
         row = np.searchsorted(off, at, side="right") - 1
         end = off[np.minimum(row + 1, n)]
-        inside = at + size <= end + 1  # the blank that opens the next text closes this one
+        inside = at + size <= end + closed[np.minimum(row, n - 1)]  # the blank that opens the next text closes this one
         rows.append(row[inside])
         found.append(bucket[at[inside]])
     key = np.unique(np.concatenate(rows).astype(np.int64) << BITS | np.concatenate(found))
@@ -110,9 +122,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     for c, n in counts.items():
         share = F.when(F.col("y") == c, min(1.0, TRAIN_ROWS / n)).otherwise(share)
     chosen = y.where(h < share)
-    order = Window.partitionBy("y").orderBy("_h", "_id")  # about TRAIN_ROWS rows of a class
-    chosen = chosen.withColumn("_h", F.xxhash64(F.lit(18), "_id")).withColumn("_n", F.row_number().over(order)) \
-        .where(F.col("_n") <= TRAIN_ROWS).select("_id", "y")
+    chosen = chosen.withColumn("_h", F.xxhash64(F.lit(18), "_id"))
+    zero, one = (chosen.where(F.col("y") == c).orderBy("_h", "_id").limit(TRAIN_ROWS).select("_id", "y") for c in (0, 1))
+    chosen = zero.unionAll(one)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("y", "text")
 
