@@ -14,7 +14,8 @@ positive. Numbers beside a base match teach the borders inside a run. A selected
 better candidate. Base spans always stay.
 
 The trees learn from about ``TRAIN_DOCS`` documents (those with the smallest hashes
-of id and text); the thresholds count the held-out candidates of all documents, and
+of id and text), of each kind from about ``TRAIN_ROWS`` examples (a long table of numbers has any
+number of candidates; of more, equal ones are thinned out and those with the smallest hashes stay); the thresholds count the held-out candidates of all documents, and
 finding looks at every whole text.
 
 Edge cases. Null and empty texts have no spans. Offsets are code points. Every
@@ -37,11 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qalake.llm.boosting import BoostedTrees
-from qalake.llm.common import slices
+from qalake.llm.common import TEXT_ROWS, materialize, slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees learn from at most, and the precision that a threshold must reach.
-TRAIN_DOCS, PRECISION = 20_000, 0.99
+#: Documents that the trees learn from at most, about as many examples of a kind, and the precision that a threshold must reach.
+TRAIN_DOCS, TRAIN_ROWS, PRECISION = 20_000, 40_000, 0.99
 #: Bins of a unit of log odds in which held-out examples are counted.
 ODDS_BINS = 100
 #: Candidates of a text whose features are held at once.
@@ -386,6 +387,19 @@ def _held_out(docs: DataFrame, text: str, trees: BoostedTrees) -> DataFrame:
     return got.groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
 
 
+def _bounded(examples: DataFrame) -> DataFrame:
+    """Examples (x, y): of each kind all, or about TRAIN_ROWS (twice that at most) in the same proportions."""
+    rows = materialize(examples.withColumn("kind", F.col("x")[0].cast("int")), "pii-examples", TEXT_ROWS)
+    many = rows.groupBy("kind").count().where(F.col("count") > TRAIN_ROWS).collect()  # a row per kind at most
+    for r in many:
+        own = rows.where(F.col("kind") == r["kind"]).groupBy("x", "y").agg(F.first("kind").alias("kind"), F.count("*").alias("n"))
+        some = own.withColumn("h", F.xxhash64("x", "y")).orderBy("h").limit(TRAIN_ROWS)
+        copies = F.greatest(F.lit(1), F.floor(F.col("n") * (TRAIN_ROWS / r["count"]))).cast("int")
+        some = some.select("x", "y", "kind", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).drop("copy")
+        rows = rows.where(F.col("kind") != r["kind"]).unionByName(some)
+    return rows.select("x", "y")
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> SpanModel:
     """Trees from the candidates of about TRAIN_DOCS documents, thresholds from those of all, found on Spark."""
 
@@ -395,7 +409,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> SpanMode
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in rows], pa.list_(pa.float64())), pa.array([x[1] for x in rows], pa.int32())], ["x", "y"])
 
-    got = _sample(docs, doc_id, text).mapInArrow(run, "x array<double>, y int").toPandas()
+    got = _bounded(_sample(docs, doc_id, text).mapInArrow(run, "x array<double>, y int")).toPandas()
     limits = dict.fromkeys(KINDS, 2.0)
     if not len(got) or got["y"].nunique() < 2:
         return SpanModel(BoostedTrees(), limits)

@@ -161,3 +161,17 @@ def test_null_ids_are_sampled_by_their_texts(spark, monkeypatch):
     monkeypatch.setattr(pii, "TRAIN_DOCS", 100)
     docs = spark.createDataFrame([(None, f"text {i}") for i in range(1000)], "doc_id long, text string")
     assert 50 < pii._sample(docs, "doc_id", "text").count() < 150
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    from qalake.llm import pii
+    rows = [(1, " ".join(str(i * 7919 % 10**9) for i in range(3000))), (2, "call +49 30 1234 5678 or ann@site.org")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(pii, "TRAIN_ROWS", 500)
+    seen = []
+    fit = pii.BoostedTrees.fit
+    monkeypatch.setattr(pii.BoostedTrees, "fit", lambda self, x, y: seen.append(x) or fit(self, x, y))
+    model = pii.fit(docs)
+    numbers = (seen[0][:, 0] == pii.KINDS.index("phone")).sum()
+    assert len(seen[0]) <= 8 * 500 and 400 <= numbers <= 1000
+    assert model.spans("mail ann@site.org now")[0] == [("email", 5, 17)]
