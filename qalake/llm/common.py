@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,6 +81,14 @@ def utf8_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on, idle, beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``limit`` bytes of ``text`` (one row at least)."""
@@ -93,6 +102,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str,
             end = min(max(end, at + 1), b.num_rows)
             yield b.slice(at, end - at)
             at = end
+    release_memory()
 
 
 def gathered(batches: Iterator[pa.RecordBatch], text: str,

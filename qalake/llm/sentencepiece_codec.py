@@ -13,6 +13,12 @@ undoing the later merge of the two, over and over). There is one admissible
 path per position, and it is the merge order's result. Unigram models take the
 path with the greatest score sum.
 
+Long words without a blank (base64, minified code) are cut into overlapping windows
+that advance together as equal-length rows. Two windows are joined where both have a
+piece border and the pieces that meet there are admissible: the joined path is
+admissible everywhere, so it is the one path of the word. Where two windows share
+no such border they are made larger. (Only for merge models; others advance whole.)
+
 Edge cases. Null and empty texts have no ids and decode to the empty string.
 Characters outside the vocabulary become byte pieces. Runs of blanks merge from
 the left, as equal scores do. Texts of any length are encoded whole. U+2581 in
@@ -38,8 +44,12 @@ from qalake.llm.common import U64, WORD_SLICE_BYTES, WordStore, gathered, mix64,
 SPACE = "▁"
 #: Words that one task keeps with their ids (a bound on its memory; the results do not depend on it).
 KEPT_WORDS = 400_000
+#: The same for their ids.
+KEPT_IDS = 1 << 24
 #: Words above this length are first cut where no merge can cross.
 LONG_WORD = 20
+#: Characters of a window of a longer part, and characters that two windows share, at first.
+WINDOW, SHARED = 512, 128
 _POINT = U64(0xD1342543DE82EF95)
 
 
@@ -281,6 +291,10 @@ class Encoder:
         for part in {x for parts in cut.values() for x in parts}:
             if part not in self.store.known:
                 by.setdefault(len(part), []).append(part)
+        for size in [k for k in by if k > WINDOW and self.m.merges]:
+            for w in by.pop(size):
+                ids = self._windows(w)
+                self.store.learn([w], *self._bytes(ids, np.array([len(ids)])))
         self._equal_words(by)
         for w, parts in cut.items():
             ids, n = self.store.expand(np.array([self.store.known[x] for x in parts]))
@@ -295,6 +309,53 @@ class Encoder:
         at = [0, *(np.flatnonzero(apart) + 1).tolist(), len(word)]
         return [word[a:b] for a, b in zip(at, at[1:])]
 
+    def _windows(self, word: str) -> np.ndarray:
+        """Ids of a long word (characters outside the vocabulary as -1-point), from overlapping windows."""
+        points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        size, shared = WINDOW, SHARED
+        while size < len(points):
+            start = np.append(np.arange(0, len(points) - size, size - shared), len(points) - size)
+            joined = self._join(start, self._window_paths(points, start, size), size)
+            if joined is not None:
+                return joined
+            size, shared = 4 * size, 4 * shared
+        return _encode_equal(self.m, self.follows, points, 1, len(points))[0]
+
+    def _window_paths(self, points: np.ndarray, start: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, ends of the pieces in the word) of each window."""
+        width, out = np.array([len(p) for p in self.m.pieces]), []
+        step = max(1, 2_000_000 // (8 * size))
+        for i in range(0, len(start), step):
+            part = start[i:i + step]
+            ids, n = _encode_equal(self.m, self.follows, points[part[:, None] + np.arange(size)].ravel(), len(part), size)
+            ends = np.cumsum(np.where(ids < 0, 1, width[ids]))  # the windows stand one behind the other here
+            at = np.cumsum(n) - n
+            out += [(ids[a:a + k], ends[a:a + k] - j * size + s) for j, (s, a, k) in enumerate(zip(part.tolist(), at.tolist(), n.tolist()))]
+        return out
+
+    def _join(self, start: np.ndarray, paths: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray | None:
+        """One path from those of overlapping windows; None if two of them share no admissible border."""
+        out, done = [], 0  # pieces of the next window up to the border that was found last stay out
+        for k, (ids, ends) in enumerate(paths):
+            if k + 1 == len(paths):
+                out.append(ids[done:])
+                break
+            after, its_ends = paths[k + 1]
+            # borders of both: an end here, a start there (its first piece starts where the window does: no border)
+            border, here, there = np.intersect1d(ends, its_ends, return_indices=True)
+            inside = (there + 1 < len(after)) & (here + 1 < len(ids)) & (here >= done)
+            border, here, there = border[inside], here[inside], there[inside] + 1
+            a, b = ids[here], after[there]
+            fits, known = np.ones(len(a), bool), (a >= 0) & (b >= 0)
+            fits[known] = self.follows(a[known], b[known])
+            if not fits.any():
+                return None
+            middle = (start[k + 1] + start[k] + size) / 2
+            best = np.flatnonzero(fits)[np.abs(border[fits] - middle).argmin()]
+            out.append(ids[done:here[best] + 1])
+            done = int(there[best])
+        return np.concatenate(out)
+
     def _equal_words(self, by: dict[int, list[str]]) -> None:
         for size, group in by.items():
             group = list(dict.fromkeys(group))
@@ -334,7 +395,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids per text)."""
-        if len(self.store.known) > KEPT_WORDS:
+        if self.store.rows > KEPT_WORDS or self.store.used > KEPT_IDS:
             self.store = WordStore()
         known = self.store.known
         texts = pc.cast(texts, pa.large_string()).fill_null("")
@@ -391,8 +452,23 @@ class Encoder:
         return out
 
 
+#: Ids that are decoded together.
+DECODED = 1 << 18
+
+
 def decode_ids(m: Model, ids: np.ndarray, count: np.ndarray) -> list[str]:
     """Texts of id lists: the pieces' bytes by table lookup, without the leading blank."""
+    out: list[str] = []
+    ends = np.cumsum(count)
+    row = at = 0
+    while row < len(count):  # lists of about DECODED ids, one at least
+        last = max(row + 1, int(np.searchsorted(ends, at + DECODED, side="right")))
+        out += _decoded(m, ids[at:int(ends[last - 1])], count[row:last])
+        row, at = last, int(ends[last - 1])
+    return out
+
+
+def _decoded(m: Model, ids: np.ndarray, count: np.ndarray) -> list[str]:
     n = (m.blob_at[1:] - m.blob_at[:-1])[ids]
     ends = np.cumsum(n)
     total = int(ends[-1]) if len(ends) else 0

@@ -59,3 +59,33 @@ def test_columns_pass_and_clashes_are_replaced(spark):
 
 def test_empty_table(spark):
     assert encode(documents(spark, []), piece_model_path()).count() == 0
+
+
+def test_long_words_equal_the_library(library):
+    rng = random.Random(4)
+    hexa = "".join(rng.choice("0123456789abcdef") for _ in range(20_000))
+    code = "".join(rng.choice(["function(", "return", "var_", "{}", "=>", "the", "é", "日", "\x00", "ing", "x1", "=", "ab"]) for _ in range(6000))
+    check(library, [hexa, f"a {code} b {hexa[:513]} c", "ab" * 4000, "a" * 9000, "the" * 3000, "日本" * 900, "😀" * 700, "=" * 5000,
+                    "".join(rng.choice("etaoinshrdlu") for _ in range(5000)) + "—" * 2000])
+
+
+def test_a_megabyte_without_a_blank(library):
+    import base64
+    import time
+    text = base64.b64encode(random.Random(5).randbytes(750_000)).decode()
+    enc = Encoder(piece_model_path())
+    began = time.process_time()
+    flat, n = enc.encode(pa.array([text]))
+    assert time.process_time() - began < 30
+    assert flat.tolist() == library.encode(text)
+
+
+def test_kept_words_stay_bounded(monkeypatch):
+    from qalake.llm import sentencepiece_codec
+    monkeypatch.setattr(sentencepiece_codec, "KEPT_WORDS", 3000)
+    rng = random.Random(6)
+    enc, most = Encoder(piece_model_path()), 0
+    for _ in range(100):
+        enc.encode(pa.array([f"w{rng.randrange(200)}" + " " * rng.randint(1, 9) + f"v{rng.randrange(200)}" for _ in range(500)]))
+        most = max(most, enc.store.rows)
+    assert most < 3000 + 3 * 500
