@@ -19,6 +19,7 @@ files. Other columns are not written.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,9 @@ from qalake.llm.common import TEXT_ROWS, WORD_SLICE_BYTES, WordStore, gathered,
 from qalake.session import scratch_path
 
 #: Words that one task keeps with their ids (a bound on its memory; the results do not depend on it).
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_000_000
+#: Words of letters that the library encodes as one line.
+LINE_WORDS = 1000
 
 
 class WordEncoder:
@@ -48,7 +51,21 @@ class WordEncoder:
         probe = ["Ab cd", "ab\n cd", " ab  cd "]
         if len({tuple(self._library([p])[0]) for p in probe}) != 1:
             raise ValueError("only tokenizers that lower the case and drop white space are supported")
+        marks = ["zé", ".", ",", "..", ",.", ".,,", "...", "ab", "ß"]
+        ids = dict(zip(marks, self._library(marks)))
+        for word in ("zé", "ab", "ß"):
+            for tail in marks[1:7]:
+                if self._library([word + tail])[0] != ids[word] + ids[tail]:
+                    raise ValueError("only tokenizers that cut words before full stops and commas are supported")
         self.store = WordStore()
+        mark = json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.vocab, bool)  # ids that end a pre-token, where the model marks them
+        if mark:
+            self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith(mark) and i < self.vocab]] = True
+
+        self.model = self.tok.model
+        probe = ["a", "the", "running", "zzzyx", "qwertyuiopasdfgh", "e" * 40, *(chr(97 + i) + chr(122 - i) for i in range(26))]
+        self.direct = bool(mark) and all((a == b).all() for a, b in zip(self._plain(probe), self._each(probe)))
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -57,13 +74,35 @@ class WordEncoder:
         """Store numbers of words, encoding the new ones."""
         known = self.store.known
         words = words.to_pylist()
-        new = [w for w in words if w not in known]
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            ids = self._library(part)
-            self.store.learn(part, np.array([x for y in ids for x in y], np.int32),
-                             np.fromiter(map(len, ids), np.int64, len(ids)))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        numbers = np.array([known.get(w, -1) for w in words], np.int64)
+        at = np.flatnonzero(numbers < 0)
+        new = [words[i] for i in at.tolist()]
+        kinds: dict[bool | None, list[str]] = {True: [], False: [], None: []}
+        for w in new:
+            kinds[w.isascii() and self.direct if w.isalpha() else None].append(w)
+        for kind, how, step in ((True, self._plain, 20_000), (False, self._line, LINE_WORDS), (None, self._each, 20_000)):
+            for i in range(0, len(kinds[kind]), step):
+                self.store.learn(kinds[kind][i:i + step], *how(kinds[kind][i:i + step]))
+        numbers[at] = [known[w] for w in new]
+        return numbers
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for lower-case words of a to z, which only the model itself changes."""
+        ids = [[t.id for t in self.model.tokenize(w)] for w in words]
+        return np.array([x for y in ids for x in y], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids per word), each word encoded alone."""
+        ids = self._library(words)
+        return np.array([x for y in ids for x in y], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _line(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters, as one line: a word is a pre-token, whose last id the model marks."""
+        ids = np.array(self._library([" ".join(words)])[0], np.int32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):  # some word is no single pre-token (each is one at least)
+            return self._each(words)
+        return ids, np.diff(ends, prepend=0)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids per text), without end ids."""
@@ -132,7 +171,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc
         kind = np.uint16 if max(enc.vocab, end_id + 1) <= 1 << 16 else np.uint32
         total = np.zeros(max(enc.vocab, end_id + 1), np.int64)
         id_arrow = None
-        for b in gathered(batches, "text", WORD_SLICE_BYTES):
+        for b in gathered(batches, "text", 2 * WORD_SLICE_BYTES):
             id_arrow = b.column(0).type
             flat, n = enc.encode(b.column(1))
             ends = np.cumsum(n)
@@ -227,9 +266,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
 
     kind = np.uint32 if _vocab(tokenizer_path, end_id) > 1 << 16 else np.uint16
     id_type = tokens.schema["doc_id"].dataType.simpleString()
-    rows = tokens.where("ids is not null").select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, control binary, data binary")
-    (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "control", "data")
+    # in order before they are coded, so that finding the ranges reads stored ids only; the hash spreads equal and null ids
+    rows = tokens.where("ids is not null").select("doc_id", F.xxhash64("ids").alias("h"), "ids")
+    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "ids").select("doc_id", "ids")
+    (rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, control binary, data binary")
      .withColumn("position", F.monotonically_increasing_id())
      .write.option("compression", "none").parquet(f"{path}/ids"))
     spark.createDataFrame([(int(r), int(i)) for r, i in enumerate(id_of.tolist())] or [], "rank long, id long") \
