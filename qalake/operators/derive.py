@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import paths
+from ..session import scratch_path
 from ..sources import fingerprint
 from . import snapshots, staging
 
@@ -71,12 +72,14 @@ def refresh_post_tags(spark: SparkSession, posts: DataFrame, tags: DataFrame,
 
 #: Post ids of a span: what is rewritten when one of its posts changes.
 SPAN_POSTS = 1 << 16
+#: Folders of a relation, about: of more spans, neighbours share a folder.
+FOLDERS, LAYOUT = 1024, "spans_per_folder"
 
 
 @dataclass(frozen=True)
 class Maintained:
     relation: DataFrame
-    spans: list[int]           # spans that were rewritten
+    spans: list[int]           # spans that were rewritten (of a folder of several spans, the first)
 
 
 def _tag_names(posts: DataFrame) -> DataFrame:
@@ -85,16 +88,34 @@ def _tag_names(posts: DataFrame) -> DataFrame:
         "span", F.explode(F.split(F.btrim(F.col("tags"), F.lit("|")), r"[|]")).alias("tag_name"))
 
 
+def _first_span(rows: DataFrame, per_folder: int) -> DataFrame:
+    """The rows with ``span`` replaced by the first span of its folder."""
+    if per_folder == 1:
+        return rows
+    span = F.col("span")
+    return rows.withColumn("span", F.when(span == fingerprint.LOOSE, span).otherwise(span - F.pmod(span, F.lit(per_folder))))
+
+
+def _spans_per_folder(spark: SparkSession, before: snapshots.Snapshot | None) -> int | None:
+    """How the stored relation is laid out; None if there is none."""
+    if before is None:
+        return None
+    layout = f"{before.path}/{LAYOUT}"
+    return int(paths.read_text(spark, layout)) if paths.exists(spark, layout) else 1
+
+
 def maintain_post_tags(spark: SparkSession, posts: DataFrame, tags: DataFrame, path: str, *, width: int = SPAN_POSTS,
                        check_unique: bool = True) -> Maintained:
     """Bring the stored relation below ``path`` up to date, rewriting only what changed (D3).
 
-    The relation lies in one folder per span of ``width`` post ids. What it was made from is
-    kept beside it: a fingerprint of the posts' ids and tags, one hash per span, and the
-    tags. Spans whose hash differs, and spans with posts of a tag that came, went or changed
-    its id, are computed anew and replace their folders; all other files stay as they are.
-    The state is committed last: a stop in between makes the next call do the same spans again.
-    At most one number per span reaches the driver.
+    The relation lies in one folder per span of ``width`` post ids; of more than ``FOLDERS``
+    spans, neighbours share a folder, so that files grow with rows and not with spans. What it
+    was made from is kept beside it: a fingerprint of the posts' ids and tags, one hash per
+    span, and the tags. Spans whose hash differs, and spans with posts of a tag that came, went
+    or changed its id, are computed anew and replace their folders; all other files stay as they
+    are. The state is committed last: a stop in between makes the next call do the same spans
+    again. At most one number per folder reaches the driver. A relation whose spans have
+    outgrown their folders fourfold is laid out anew.
     """
     root, state = f"{path.rstrip('/')}/relation", f"{path.rstrip('/')}/_state"
     posts = posts.select("id", "tags").withColumn("span", fingerprint.piece_of(F.col("id"), width))
@@ -106,28 +127,37 @@ def maintain_post_tags(spark: SparkSession, posts: DataFrame, tags: DataFrame, p
         tree = f"{folder}/tree"
         fingerprint.write_tree(fingerprint.row_pieces(posts, F.col("id"), [F.col("id"), F.col("tags")], width), tree)
         tags.write.parquet(f"{folder}/tags")
-        if before is None:
-            paths.delete(spark, root)  # a first try may have left something
-            touched = posts.select("span").distinct()
+        spans = spark.read.schema(fingerprint.NODE_SCHEMA).parquet(f"{tree}/level=0").select(F.col("node").alias("span"))
+        fitting = -(-spans.count() // FOLDERS) or 1
+        per_folder = _spans_per_folder(spark, before)
+        if per_folder is None or fitting > 4 * per_folder:
+            per_folder = fitting
+            paths.delete(spark, root)  # a first try, or another layout, may have left something
+            touched = spans
         else:
             touched = fingerprint.changed_pieces(spark, f"{before.path}/tree", tree).select(F.col("piece").alias("span"))
             old = spark.read.schema(tags.schema).parquet(f"{before.path}/tags")
             names = tags.exceptAll(old).unionAll(old.exceptAll(tags)).select("tag_name").distinct()
             if names.limit(1).count():
-                touched = touched.unionAll(_tag_names(posts).join(names, "tag_name", "left_semi").select("span")).distinct()
-        done.extend(sorted(r["span"] for r in touched.collect()))
+                touched = touched.unionAll(_tag_names(posts).join(names, "tag_name", "left_semi").select("span"))
+        paths.write_text(spark, f"{folder}/{LAYOUT}", str(per_folder))
+        done.extend(sorted(r["span"] for r in _first_span(touched, per_folder).distinct().collect()))
         if not done:
             return
-        only = F.broadcast(spark.createDataFrame([(k,) for k in done], "span long"))  # one row per span
-        rows = post_tags(posts.join(only, "span", "left_semi"), tags)
+        only = F.broadcast(spark.createDataFrame([(k,) for k in done], "span long"))  # one row per folder
+        rows = post_tags(_first_span(posts, per_folder).join(only, "span", "left_semi"), tags)
+        rows = _first_span(rows.withColumn("span", fingerprint.piece_of(F.col("post_id"), width)), per_folder)
+        made = scratch_path(spark, "post-tags-rows")  # computed once, for the check and the files
+        rows.write.parquet(made)
+        rows = spark.read.schema(rows.schema).parquet(made)
         if check_unique:
             check_post_tags_unique(rows)
-        rows = rows.withColumn("span", fingerprint.piece_of(F.col("post_id"), width))
         with staging.session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             rows.repartition("span").sortWithinPartitions("span", "post_id").write.mode("overwrite").partitionBy("span").parquet(root)
         written = {r["span"] for r in rows.select("span").distinct().collect()}
         for k in set(done) - written:  # spans whose posts have lost all tags
             paths.delete(spark, f"{root}/span={k}")
+        paths.delete(spark, made)
 
     snapshots.write(spark, state, bring_up_to_date)
     schema = "post_id int, tag_id int, tag_name string"

@@ -88,3 +88,20 @@ def test_repeated_pairs_are_refused_and_empty_inputs_work(spark, tmp_path):
     none = derive.maintain_post_tags(spark, posts.limit(0), dim, str(tmp_path / "b"))
     assert none.spans == [] and none.relation.count() == 0
     assert derive.maintain_post_tags(spark, posts, dim, str(tmp_path / "b"), check_unique=False).relation.count() == 2
+
+
+def test_many_spans_share_a_bounded_number_of_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(derive, "FOLDERS", 8, raising=False)
+    path, tags = str(tmp_path / "kept"), {"t1": 1, "t2": 2}
+    posts = {i: "|t1|" for i in range(400)}
+    update = lambda: derive.maintain_post_tags(spark, *frames(spark, posts, tags), path, width=10)
+    assert stored(update()) == full(posts, tags) and len(os.listdir(f"{path}/relation")) <= 10
+    was = files(path)
+    posts[123] = "|t1|t2|"
+    for i in range(350, 400):
+        posts[i] = None
+    got = update()
+    assert got.spans == [10, 35] and stored(got) == full(posts, tags)
+    assert {f for f in was if "span=10/" not in f and "span=35/" not in f} <= files(path)
+    posts.update({i: "|t2|" for i in range(400, 2400)})  # spans outgrow their folders
+    assert stored(update()) == full(posts, tags) and len(os.listdir(f"{path}/relation")) <= 10
