@@ -12,7 +12,8 @@ agree in a band are candidates.
 Documents with equal sets are one class. Within a band's bucket each class is
 compared with the bucket's leader, the class that meets the most others. Where a
 bucket then still holds several components, its members' hashed sets go to tiles
-of bounded size (two chunks of the bucket each; buckets of the same members are one),
+of bounded size (two chunks of the bucket each; buckets of the same members are one;
+chunks of the largest component meet only chunks of the others),
 a tile counts the shingles that its members share for all of them together, and
 returns a spanning forest of the links across components, never the pairs. All links
 are confirmed on the full sets of the whole texts. Components are found by joins.
@@ -178,20 +179,34 @@ def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (key, chunks, cid, part, n) of the buckets that hold several components; buckets of the same members once."""
+    """Rows (key, cid, part, main, own, others) of the buckets that hold several components; buckets of the same members once.
+
+    ``main`` says that the member is of its bucket's largest component; ``own`` and ``others`` count the chunks
+    of the members that are (not) of it.
+    """
     name = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cid"))
     keys = (rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"),
                                     F.sum("n").alias("shingles"), name(1).alias("x1"), name(2).alias("x2"))
             .where("low <> high").groupBy("size", "shingles", "x1", "x2").agg(F.min("key").alias("key")))
-    chunks = F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
-    return rows.select("key", "cid", "part", "n").join(keys.select("key", chunks.alias("chunks")), "key")
+    rows = rows.select("key", "cid", "part", "n").join(keys.select("key", "size", "shingles"), "key")
+    parts = rows.groupBy("key", "size", "shingles", "part").agg(F.count("*").alias("of"), F.sum("n").alias("held"))
+    largest = parts.groupBy("key", "size", "shingles").agg(F.max(F.struct("of", "part", "held")).alias("m"))
+    chunks = lambda size, shingles: F.ceil(F.greatest(size / CHUNK, shingles / CHUNK_SHINGLES)).cast("int")
+    largest = largest.select("key", F.col("m.part").alias("most"), chunks(F.col("m.of"), F.col("m.held")).alias("own"),
+                             chunks(F.col("size") - F.col("m.of"), F.col("shingles") - F.col("m.held")).alias("others"))
+    return rows.join(largest, "key").select("key", "cid", "part", (F.col("part") == F.col("most")).alias("main"), "own", "others")
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
-    """Each member once for every tile (key, i, j) that its chunk is part of."""
-    chunk = F.pmod(F.xxhash64(F.lit(3), "cid"), F.col("chunks")).cast("int")
+    """Each member once for every tile (key, i, j) that its chunk is part of.
+
+    The chunks of the largest component, numbered after the others, meet only those: two of its members need no link.
+    """
+    h = F.xxhash64(F.lit(3), "cid")
+    chunk = F.when(F.col("main"), F.col("others") + F.pmod(h, F.col("own"))).otherwise(F.pmod(h, F.col("others"))).cast("int")
+    last = F.when(F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("own")) - 1
     rows = rows.withColumn("chunk", chunk)
-    other = rows.select("key", "cid", "part", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    other = rows.select("key", "cid", "part", "chunk", F.explode(F.sequence(F.lit(0), last)).alias("other"))
     return other.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "cid", "part")
 
 

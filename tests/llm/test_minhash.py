@@ -179,3 +179,21 @@ def test_tiles_find_links_that_no_leader_has(spark):
         rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
     got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
     assert got == brute(rows, 2)
+
+
+@pytest.mark.parametrize("chunk", [512, 40])
+def test_tiles_leave_out_pairs_of_the_largest_component(spark, monkeypatch, chunk):
+    """Every two members of different components meet once; the largest component's never among themselves."""
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
+    part = {i: 0 if i < 900 else i // 3 for i in range(1000)}
+    rows = [(7, i, p, 50) for i, p in part.items()] + [(8, i, 0, 50) for i in range(300)] + [(9, 1, 0, 50), (9, 2000, 2000, 50)]
+    tiles = minhash._tiles(minhash._mixed(spark.createDataFrame(rows, "key long, cid long, part long, n long"))).collect()
+    met = {}
+    for t in tiles:
+        met.setdefault((t["key"], t["i"], t["j"]), []).append(t)
+    assert {k for k, _, _ in met} == {7, 9}  # a bucket of one component needs no tile
+    pairs = [(a["cid"], b["cid"]) for (k, i, j), ts in met.items() if k == 7 for a in ts for b in ts
+             if a["cid"] < b["cid"] and part[a["cid"]] != part[b["cid"]] and (i == j or a["chunk"] != b["chunk"])]
+    assert len(pairs) == len(set(pairs)) == sum(part[a] != part[b] for a in part for b in range(a + 1, 1000))
+    own, others = -(-900 // chunk), -(-100 // chunk)
+    assert len([t for t in tiles if t["key"] == 7]) == 900 * others + 100 * (own + others)
