@@ -1,7 +1,9 @@
 import hashlib
+import os
 
 from pyspark.sql import functions as F
 
+from qalake import paths
 from qalake.sources import pieces
 
 
@@ -110,3 +112,45 @@ def test_wanted_files_only_and_other_schemes(spark, tmp_path):
     assert [(r["name"], r["status"]) for r in summary.collect()] == [("a", "ok")] and bad.count() == 0
     plan = bad._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_files_are_read_in_rounds_of_bounded_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pieces, "LISTED", 10, raising=False)
+    read, line_places = [], pieces.line_places
+    monkeypatch.setattr(pieces, "line_places", lambda s, files: (read.append(list(files)), line_places(s, files))[1])
+    data = {f"f{i}": bytes([65 + i % 26]) * (17 + i % 5) + b"\n" for i in range(60)}
+    hurt = data | {"f7": data["f7"].lower(), "f30": data["f30"].lower()}
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    got, bad = _run(spark, data, hurt, tmp_path)
+    assert {n for n, _ in bad} == {"f7", "f30"} == {n for n, v in got.items() if v[0] != "ok"}
+    assert len(read) > 3 and max(map(len, read)) < 30  # dealt by hash: about 10 each
+    assert len({f for files in read for f in files}) == sum(map(len, read))  # no file twice
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+
+
+def test_a_walk_reads_folders_as_it_goes(spark, tmp_path, monkeypatch):
+    for i in range(40):
+        (tmp_path / f"d{i}" / "deep").mkdir(parents=True)
+        (tmp_path / f"d{i}" / "deep" / "f").write_text("x" * i)
+    seen, scandir = [], os.scandir
+
+    class Counted:
+        def __init__(self, path):
+            self.entries = scandir(path)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.entries.close()
+
+        def __iter__(self):
+            for e in self.entries:
+                seen.append(e.name)
+                yield e
+
+    monkeypatch.setattr(paths.os, "scandir", Counted)
+    found = paths.walk(spark, str(tmp_path))
+    first = next(found)
+    assert len(seen) <= 3  # a folder, the one in it, and the file
+    assert {(r, n) for _, r, n in [first, *found]} == {(f"d{i}/deep/f", i) for i in range(40)}
